@@ -7,15 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from blockflow.llm.secrets import secret_digest
+from blockflow.llm.simhash import simhash_digest
 from blockflow.runtime import read_table
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_secrets,)}
+    return {f.__name__: f for f in (op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
