@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blockflow.llm.packing import packing_digest
 from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
 from blockflow.llm.simhash import simhash_digest
 from blockflow.runtime import read_table
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -25,7 +30,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op3_packing, op5_quality, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
