@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blockflow.llm.common import held_out
+from blockflow.llm.language import language_digest
 from blockflow.llm.packing import packing_digest
 from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
@@ -17,6 +19,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(read_table(spark, sf_dir, "documents"), ~held_out(4, 2))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -30,7 +36,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op5_quality, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
