@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blockflow.llm.common import held_out
 from blockflow.llm.language import language_digest
+from blockflow.llm.ngram import ngram_digest
 from blockflow.llm.packing import packing_digest
 from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
@@ -15,6 +16,10 @@ from blockflow.llm.simhash import simhash_digest
 from blockflow.runtime import read_table
 
 
+def op2_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_digest(read_table(spark, sf_dir, "documents"), ~held_out(5, 1))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_digest(read_table(spark, sf_dir, "documents"))
 
@@ -36,7 +41,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op2_ngram, op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
