@@ -19,6 +19,7 @@ from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 from math import ceil
+from unicodedata import is_normalized
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,50 +44,82 @@ def tokenizer_path(p: PackingParams) -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The pre-tokenizer for which texts may be cut into chunks (fixed value: the pattern in word_bpe_49k.json).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level models use for each byte: itself if it prints, else the next from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class ChunkEncoder:
     """ids of whole texts as bytes (little-endian 32-bit), with a bounded cache of chunks between white space.
 
-    The tokenizer drops white space and splits words from marks, so a text's ids are those of its chunks, and a
-    chunk that ends in plain marks is its core and its marks. A chunk that might hold a special token is encoded as
-    a whole, and a text in which such a token could hold white space doesn't exist: those tokens have none.
+    For tokenizers that drop white space and split words from marks (WORD_PATTERN), a text's ids are those of its
+    chunks, and a chunk that ends in plain marks is its core and its marks. A core of letters only is one word: the
+    model gets it directly. Any other chunk goes through the whole tokenizer. Other tokenizers get whole texts.
     """
 
     MARKS = ".,!?;:"
-    MOST = 400_000
+    MOST = 600_000
 
     def __init__(self, path: str) -> None:
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        splits = [n.get("pattern") for n in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and splits == [{"Regex": WORD_PATTERN}, None] and not spec["post_processor"]
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.cores: dict[str, bytes] = {"": b""}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word of lower-case letters."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text (UTF-8)."""
+        if not self.by_chunk:
+            return self._encode([t.decode() for t in texts])
         split = [t.split() for t in texts]  # at ASCII white space; any other stays within its chunk
         chunks: dict[bytes, bytes] = dict.fromkeys((c for s in split for c in s), b"")
-        cores, marks = self.cores, self.MARKS
-        new: dict[str, None] = {}
-        parts: list[tuple[str, str]] = []
-        for c in map(bytes.decode, chunks):
+        cores, marks, word = self.cores, self.MARKS, self._word
+        whole: dict[str, bytes] = {}
+        for b in chunks:
+            c = b.decode()
             core = c.rstrip(marks)
-            part = (core.lower() if core.isascii() else core, c[len(core) :]) if core.isalnum() and core.lower().isalnum() else (c, "")
-            parts.append(part)
-            for x in part:
-                if x not in cores:
-                    new[x] = None
-        names = list(new)
-        cores.update(zip(names, self._encode(names), strict=True) if names else ())
-        for c, (core, tail) in zip(chunks, parts, strict=True):
-            chunks[c] = cores[core] + cores[tail]
+            low = core.lower()
+            if low and not (low.isalpha() and (core.isascii() or is_normalized("NFC", core) and "\u03a3" not in core)):
+                whole[c] = b""
+                continue
+            if low not in cores:
+                cores[low] = word(low)
+            tail = c[len(core) :]
+            if tail not in cores:
+                cores[tail] = self._encode([tail])[0]
+            chunks[b] = cores[low] + cores[tail]
+        if whole:
+            names = list(whole)
+            whole.update(zip(names, self._encode(names), strict=True))
+            chunks.update((c.encode(), ids) for c, ids in whole.items())
         out = [b"".join(map(chunks.__getitem__, s)) for s in split]
-        if len(cores) > self.MOST or any(len(x) > 1000 for x in names):
+        if len(cores) > self.MOST or any(len(c) > 1000 for c in chunks):
             cores.clear()
+            cores[""] = b""
         return out
 
 
