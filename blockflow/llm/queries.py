@@ -13,9 +13,14 @@ from blockflow.llm.packing import packing_digest
 from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
 from blockflow.llm.simhash import simhash_digest
+from blockflow.llm.toxicity import toxicity_digest
 from blockflow.runtime import read_table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), ~held_out(3, 1))
+
+
 def op2_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_digest(read_table(spark, sf_dir, "documents"), ~held_out(5, 1))
 
@@ -41,7 +46,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram, op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
