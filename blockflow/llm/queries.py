@@ -14,6 +14,7 @@ from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
 from blockflow.llm.simhash import simhash_digest
 from blockflow.llm.toxicity import toxicity_digest
+from blockflow.llm.urls import url_digest
 from blockflow.runtime import read_table
 
 
@@ -37,6 +38,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_digest(read_table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op7_urls, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
