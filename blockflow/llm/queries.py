@@ -10,6 +10,7 @@ from blockflow.llm.common import held_out
 from blockflow.llm.language import language_digest
 from blockflow.llm.ngram import ngram_digest
 from blockflow.llm.packing import packing_digest
+from blockflow.llm.pieces import pieces_digest
 from blockflow.llm.quality import quality_digest
 from blockflow.llm.secrets import secret_digest
 from blockflow.llm.simhash import simhash_digest
@@ -38,6 +39,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_digest(read_table(spark, sf_dir, "pages"))
 
@@ -51,7 +56,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op7_urls, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op6_pieces, op7_urls, op8_simhash, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
