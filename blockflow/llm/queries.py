@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blockflow.llm.common import held_out
 from blockflow.llm.language import language_digest
+from blockflow.llm.media import media_digest
 from blockflow.llm.ngram import ngram_digest
 from blockflow.llm.packing import packing_digest
 from blockflow.llm.pieces import pieces_digest
@@ -51,12 +52,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op9_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op6_pieces, op7_urls, op8_simhash, op10_secrets)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op6_pieces, op7_urls, op8_simhash, op9_chroma, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
