@@ -84,7 +84,8 @@ def with_counts(docs: DataFrame, text: str = "text", to: str = "_counts") -> Dat
         (F.size(ln) - F.size(F.array_distinct(ln))).cast("long").alias("n_dup_lines"),
         F.when(F.size(F.array_distinct(v)) == F.size(v), F.lit(0)).otherwise(_covered(F.col(v))).cast("long").alias("n_repeat_words"),
     )
-    return step.select(*kept, counts.alias(to))
+    # a generator keeps filters on the counts above this point: pushed below, they would repeat the work for each use
+    return step.select(*kept, F.explode(F.array(counts)).alias(to))
 
 
 def _bind(value: Column, body) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from blockflow.llm.common import held_out
 from blockflow.llm.language import language_digest
 from blockflow.llm.media import media_digest
@@ -60,8 +61,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op6_pieces, op7_urls, op8_simhash, op9_chroma, op10_secrets)}
+    return {f.__name__: f for f in (op1_toxicity, op2_ngram, op3_packing, op4_language, op5_quality, op6_pieces, op7_urls, op8_simhash, op9_chroma, op10_secrets, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
