@@ -36,8 +36,8 @@ def text_column(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
-def map_blocks(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str, text: str = "text", setup: Callable[[], object] | None = None) -> DataFrame:
-    """Apply ``fn`` to blocks of rows of at most BLOCK_BYTES of ``text``.
+def map_blocks(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str, text: str = "text", setup: Callable[[], object] | None = None, most: int = BLOCK_BYTES) -> DataFrame:
+    """Apply ``fn`` to blocks of rows of at most ``most`` bytes of ``text``.
 
     ``fn`` gets the columns as lists (and ``setup()``'s result, if there is one) and returns columns of the
     same block, or None. Rows reach Python in Arrow batches and are sliced by bytes, so that the memory of a
@@ -50,7 +50,7 @@ def map_blocks(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
         for batch in batches:
-            for lo, hi in _cuts(batch.column(names.index(text))):
+            for lo, hi in _cuts(batch.column(names.index(text)), most):
                 part = batch.slice(lo, hi - lo)
                 columns = {n: part.column(i).to_pylist() for i, n in enumerate(names)}
                 out = fn(columns, state) if setup else fn(columns)
@@ -64,16 +64,16 @@ def _cast(values: object, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
 
 
-def _cuts(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most BLOCK_BYTES each (a longer row is alone)."""
-    if column.nbytes <= BLOCK_BYTES:
+def _cuts(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes each (a longer row is alone)."""
+    if column.nbytes <= most:
         if len(column):
             yield 0, len(column)
         return
     lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     lo, total = 0, 0
     for i, n in enumerate(lengths):
-        if i > lo and total + n > BLOCK_BYTES:
+        if i > lo and total + n > most:
             yield lo, i
             lo, total = i, 0
         total += n

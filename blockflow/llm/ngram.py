@@ -41,17 +41,21 @@ START = xxhash.xxh64_intdigest(b" start") & LOW48
 END = xxhash.xxh64_intdigest(b" end") & LOW48
 
 
+#: Texts are scored in blocks of so many bytes: about 30 numbers are held for each token.
+SCORED_BYTES = 3 << 20
+
+
 @dataclass(frozen=True)
 class NgramParams:
     order: int = 2  #: longest n-gram
-    tokens: int = 4_000_000  #: a task counts so many tokens before it sends what it has
+    tokens: int = 1_500_000  #: a task counts so many tokens before it sends what it has
     shards: int | None = None  #: array files of an order; None: as many as shuffle partitions
 
 
 class Hashes(dict):
     """The hash of each token, with a bounded memory."""
 
-    MOST = 1_500_000
+    MOST = 400_000
 
     def __missing__(self, token: bytes) -> int:
         value = xxhash.xxh64_intdigest(token) & LOW48
@@ -385,7 +389,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         return {n: c[n] for n in names} | {"_lm": rows}
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return map_blocks(docs, block, ", ".join([*kept, "_lm struct<n_tokens: bigint, n_known: bigint, train_tokens: bigint, base_score: double, score: double, perplexity: double>"]), text)
+    return map_blocks(docs, block, ", ".join([*kept, "_lm struct<n_tokens: bigint, n_known: bigint, train_tokens: bigint, base_score: double, score: double, perplexity: double>"]), text, most=SCORED_BYTES)
 
 
 def ngram_digest(docs: DataFrame, learn: Column, p: NgramParams = NgramParams()) -> DataFrame:
