@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from blockflow.runtime import ship
 
+T = TypeVar("T")
+
 #: Words are runs of anything but these six characters. ``bytes.split()`` cuts at exactly the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = " \t\n\x0b\x0c\r"
@@ -98,4 +100,13 @@ def sql_words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-LETTERS = re.compile(r"[^\W\d_]+")
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], T]) -> T:
+    """The process's one large object, made anew if another was held: a worker that serves several stages keeps one cache."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]  # type: ignore[return-value]
+

@@ -4,8 +4,8 @@ A text becomes pieces of a published model's vocabulary (white space marked by U
 Viterbi scores of the lattice's nodes are exact heuristics for a backward A-star search, which yields segmentations
 from the best on. A character in no piece becomes its bytes.
 
-The lattice of a whole text falls apart where no piece can cross: before a run of marks, and around characters that
-no longer piece holds. Each such unit is searched once and cached; the N best of the text are the N best sums over its
+The lattice of a whole text falls apart where no piece can cross: before a run of marks, around characters that no
+longer piece holds, and between a word and a sign. Each such unit is searched once and cached; the N best of the text are the N best sums over its
 units, in which only the units with the smallest second-best losses can differ from their best. That is exact.
 
 Scores: a unigram model's own. In a model of merges the score of a piece is its rank with a minus, which is no log
@@ -18,20 +18,22 @@ it; segmentations of equal score are ordered by their ids; other columns are lef
 
 from __future__ import annotations
 
-import heapq
+import gc
 import math
 import re
 import zlib
 from array import array
+from bisect import insort
 from dataclasses import dataclass
-from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from blockflow.llm.common import map_blocks, text_column
+from blockflow.llm.common import held, map_blocks, text_column
 
 MARK = "▁"
+_first = itemgetter(0)
 
 
 @dataclass(frozen=True)
@@ -53,46 +55,54 @@ class Lattice:
 
     def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: list[int], byte_score: float) -> None:
         self.scores, self.byte_ids, self.byte_score = scores, byte_ids, byte_score
-        self.prefixes = {s[:n] for s in scores for n in range(1, len(s))}
-
-    def edges(self, unit: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
-        """(the edges that end at each node, the best score from the start to each node)."""
-        n, get, prefixes = len(unit), self.scores.get, self.prefixes
+        self.trie: dict = {}  # by character; 0 is the piece that ends there, as (ids, score)
+        for piece, (i, score) in scores.items():
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[0] = ((i,), score)
+
+    def _bytes(self, c: str) -> tuple[tuple[int, ...], float]:
+        data = c.encode("utf-8", "surrogatepass")
+        return tuple(self.byte_ids[b] for b in data), self.byte_score * len(data)
+
+    def edges(self, unit: str) -> tuple[list[list[tuple[int, tuple[tuple[int, ...], float]]]], list[float]]:
+        """(the edges (start, (ids, score)) that end at each node, the best score from the start to each node)."""
+        n, trie = len(unit), self.trie
         into: list[list] = [[] for _ in range(n + 1)]
         best = [-math.inf] * (n + 1)
         best[0] = 0.0
         for i in range(n):
             here = best[i]
+            node = trie.get(unit[i])
             j = i + 1
-            s = unit[i]
-            piece = get(s)
-            if piece is None:
-                data = s.encode("utf-8", "surrogatepass")
-                piece = (tuple(self.byte_ids[b] for b in data), self.byte_score * len(data))
-                into[j].append((i, piece[1], piece[0]))
-            else:
-                into[j].append((i, piece[1], (piece[0],)))
-            if here + piece[1] > best[j]:
-                best[j] = here + piece[1]
-            while s in prefixes and j < n:
-                j += 1
-                s = unit[i:j]
-                piece = get(s)
+            if node is None or 0 not in node:
+                piece = self._bytes(unit[i])
+                into[j].append((i, piece))
+                if here + piece[1] > best[j]:
+                    best[j] = here + piece[1]
+            while node is not None:
+                piece = node.get(0)
                 if piece is not None:
-                    into[j].append((i, piece[1], (piece[0],)))
-                    if here + piece[1] > best[j]:
-                        best[j] = here + piece[1]
+                    into[j].append((i, piece))
+                    score = here + piece[1]
+                    if score > best[j]:
+                        best[j] = score
+                if j == n:
+                    break
+                node = node.get(unit[j])
+                j += 1
         return into, best
 
     def nbest(self, unit: str, n: int) -> list[tuple[float, list[int]]]:
         """(score, ids) of the n best segmentations, best first."""
         into, best = self.edges(unit)
-        end, count = len(unit), 0
-        agenda = [(-best[end], end, 0, 0.0, None)]  # estimate, node (small first: nearly done), tie, score from here, path
-        visits: dict[int, int] = {}
         found: list[tuple[float, list[int]]] = []
-        while agenda and len(found) < n:
-            _, node, _, g, path = heapq.heappop(agenda)
+        # (estimate with a minus, score from here, node, path): the entries stand for disjoint sets of segmentations, and
+        # an estimate is the score of the best of its set, so entries behind the n best can't yield any of the n best
+        agenda: list[tuple] = [(-best[len(unit)], 0.0, len(unit), None)]
+        while agenda:
+            estimate, g, node, path = agenda.pop(0)
             if node == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -100,21 +110,33 @@ class Lattice:
                     path = path[1]
                 found.append((g, ids))
                 continue
-            seen = visits.get(node, 0)
-            if seen >= n:  # only the n best ways from a node on can be among the n best
-                continue
-            visits[node] = seen + 1
-            for i, score, ids in into[node]:
-                count += 1
-                heapq.heappush(agenda, (-(g + score + best[i]), i, count, g + score, (ids, path)))
+            room = n - len(found)
+            for i, (ids, score) in into[node]:
+                cost = -(g + score + best[i])
+                if len(agenda) < room or cost < agenda[-1][0]:
+                    del agenda[room - 1 :]
+                    insort(agenda, (cost, g + score, i, (ids, path)), key=_first)
         found.sort(key=lambda f: (-f[0], f[1]))
         return found
 
 
+def unit_pattern(pieces: dict) -> str:
+    """An expression for runs of a text that no piece can leave: what follows the marks of a start, up to where a word
+    character (but for the few that some piece has before a sign) meets a sign, a mark, or a character on its own."""
+    pairs = {(p[i], p[i + 1]) for p in pieces for i in range(len(p) - 1)}
+    word = re.compile(r"\w").match
+    open_ = "".join(sorted(re.escape(x) for x in {x for x, y in pairs if word(x) and not word(y)}))
+    inside = {c for pair in pairs for c in pair}
+    alone = "".join(re.escape(c) for c in "\n\t\r" if c not in inside)
+    sign = rf"[^\w{MARK}{alone}]"
+    more = rf"(?:[^\W{open_}]*+[{open_}]{sign}*+)*+" if open_ else ""
+    return (f"[{alone}]|" if alone else "") + rf"{MARK}*+{sign}*+{more}[^\W{open_}]*+"
+
+
 class PieceModel:
     """A model's pieces: encoding to the N best, and decoding."""
 
-    MOST = 300_000
+    MOST = 1_200_000
 
     def __init__(self, path: str, nbest: int) -> None:
         import sentencepiece as sp
@@ -138,55 +160,59 @@ class PieceModel:
             if p.type in (kind.NORMAL, kind.USER_DEFINED):
                 scores[p.piece] = (i, -math.log(2 - p.score) if zipf else p.score)
         self.lattice = Lattice(scores, self.byte_ids, min(s for _, s in scores.values()) - 5)
-        inside = {c for p in scores if len(p) > 1 for c in p}
         assert all(MARK not in p.lstrip(MARK) for p in scores), "a piece crosses a word's start"
-        alone = "".join(re.escape(c) for c in "\n\t\r" if c not in inside)
-        self.units = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]" if alone else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL)
+        self.units = re.compile(unit_pattern(scores), re.DOTALL)
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[list[bytes]] = []  # of each unit: the ids of its segmentations
+        self.ids: list[tuple[bytes, ...]] = []  # of each unit: the ids of its segmentations
         self.scores = np.zeros((1 << 12, self.nbest))
 
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
 
     def _add(self, unit: str) -> None:
+        """Search a new unit."""
         n = len(self.known)
         if n == len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         found = self.lattice.nbest(unit, self.nbest)
         self.scores[n] = [*(s for s, _ in found), *[-math.inf] * (self.nbest - len(found))]
-        self.ids.append([array("I", ids).tobytes() for _, ids in found])
+        self.ids.append(tuple([array("I", ids).tobytes() for _, ids in found]))
         self.known[unit] = n
 
     def encode(self, text: str | None) -> list[tuple[float, bytes]]:
         """(score, ids as little-endian 32-bit) of the N best segmentations of a whole text."""
         units = self.units.findall(self.normalise(text or ""))
+        if units and not units[-1]:  # the empty match at the end
+            units.pop()
         known = self.known
         long = False
         for u in dict.fromkeys(units):
             if u not in known:
                 self._add(u)
                 long |= len(u) > 1000
-        at = np.fromiter(map(known.__getitem__, units), dtype=np.int64, count=len(units))
-        own = self.scores[at]
-        best = float(own[:, 0].sum()) if len(units) else 0.0
-        out = [(best, b"".join([self.ids[i][0] for i in at.tolist()]))]
-        if self.nbest > 1 and len(units):
-            loss = own[:, :1] - own
-            few = min(self.nbest - 1, len(units))
-            order = np.argsort(loss[:, 1], kind="stable")[:few] if len(units) <= 64 else _smallest(loss[:, 1], few)
+        row = list(map(known.__getitem__, units))
+        ids = self.ids
+        parts = [ids[i][0] for i in row]
+        own = self.scores[np.array(row, dtype=np.int64)]
+        best = float(own[:, 0].sum()) if row else 0.0
+        out = [(best, b"".join(parts))]
+        if self.nbest > 1 and row:
+            second = own[:, 0] - own[:, 1]
             ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
-            for place in sorted(order.tolist()):
-                new = [(w + float(loss[place, k]), (*c, (place, k)) if k else c) for w, c in ways for k in range(self.nbest) if math.isfinite(loss[place, k])]
+            for place in sorted(_smallest(second, min(self.nbest - 1, len(row))).tolist()):
+                loss = (own[place, 0] - own[place]).tolist()
+                new = [(w + x, (*c, (place, k)) if k else c) for w, c in ways for k, x in enumerate(loss) if math.isfinite(x)]
                 ways = sorted(new)[: self.nbest]
-            row = at.tolist()
             for w, changes in ways:
                 if changes:
-                    swap = dict(changes)
-                    out.append((best - w, b"".join([self.ids[i][swap.get(j, 0)] for j, i in enumerate(row)])))
+                    for j, k in changes:
+                        parts[j] = ids[row[j]][k]
+                    out.append((best - w, b"".join(parts)))
+                    for j, _ in changes:
+                        parts[j] = ids[row[j]][0]
         if len(known) > self.MOST or long:
             self._clear()
         return out[: self.nbest]
@@ -203,10 +229,9 @@ def _smallest(a: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([below, np.flatnonzero(a == limit)[: n - len(below)]])
 
 
-@lru_cache(2)
 def opened(path: str, nbest: int) -> PieceModel:
     """The process's model."""
-    return PieceModel(path, nbest)
+    return held(("pieces", path, nbest), lambda: PieceModel(path, nbest))
 
 
 def encode_nbest(docs: DataFrame, p: PieceParams = PieceParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,6 +264,7 @@ def pieces_digest(docs: DataFrame, p: PieceParams = PieceParams()) -> DataFrame:
 
     def block(c: dict) -> dict:
         m = opened(path, p.nbest)
+        gc.disable()  # millions of small tuples, no cycles
         out: dict[str, list] = {"doc_id": c["doc_id"], "n_pieces": [], "ids_crc32": [], "best_score": [], "nbest_scores": [], "nbest_crc32": [], "round_trip": []}
         for t in c["_text"]:
             found = m.encode(t)
@@ -249,6 +275,7 @@ def pieces_digest(docs: DataFrame, p: PieceParams = PieceParams()) -> DataFrame:
             out["nbest_scores"].append([s for s, _ in found])
             out["nbest_crc32"].append([zlib.crc32(b) for _, b in found])
             out["round_trip"].append(m.decode(ids) == t.replace(MARK, " "))
+        gc.enable()
         return out
 
     return map_blocks(
