@@ -20,7 +20,7 @@ SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Most bytes of text that an Arrow operator handles at once; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def remainder(n: int, key: str = "doc_id") -> Column:
@@ -58,6 +58,7 @@ def map_blocks(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str
                 out = fn(columns, state) if setup else fn(columns)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([_cast(out[f.name], f.type) for f in target], schema=target)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -17,15 +17,17 @@ from __future__ import annotations
 import zlib
 from array import array
 from dataclasses import dataclass
-from functools import lru_cache
 from math import ceil
 from unicodedata import is_normalized
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.llm.common import map_blocks, text_column
+from blockflow.llm.common import held, map_blocks, text_column
+from blockflow.runtime import materialise
 
 
 @dataclass(frozen=True)
@@ -64,7 +66,7 @@ class ChunkEncoder:
     """
 
     MARKS = ".,!?;:"
-    MOST = 600_000
+    MOST = 400_000
 
     def __init__(self, path: str) -> None:
         import json
@@ -123,10 +125,9 @@ class ChunkEncoder:
         return out
 
 
-@lru_cache(1)
 def encoder(path: str) -> ChunkEncoder:
     """The process's encoder of a tokenizer file."""
-    return ChunkEncoder(path)
+    return held(("encoder", path), lambda: ChunkEncoder(path))
 
 
 def tokenise(docs: DataFrame, p: PackingParams = PackingParams(), with_ids: bool = True, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,7 +136,8 @@ def tokenise(docs: DataFrame, p: PackingParams = PackingParams(), with_ids: bool
     end = array("I", [p.end]).tobytes()
 
     def block(c: dict) -> dict:
-        out: dict[str, list] = {"id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
+        out: dict[str, list] = {"id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
+        parts = []
         for i, ids in zip(c["id"], encoder(path).texts(c["_text"]), strict=True):
             ids += end
             for k, lo in enumerate(range(0, len(ids), step)):
@@ -146,7 +148,10 @@ def tokenise(docs: DataFrame, p: PackingParams = PackingParams(), with_ids: bool
                 out["length"].append(len(part) // 4)
                 out["ids_crc32"].append(zlib.crc32(part))
                 if with_ids:
-                    out["ids"].append(array("i", part))
+                    parts.append(part)
+        if with_ids:
+            offsets = np.cumsum([0, *out["length"]], dtype=np.int32)
+            out["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
         return out
 
     rows = docs.select(docs[id_column].alias("id"), text_column(docs, text).cast("binary").alias("_text"))
@@ -211,7 +216,14 @@ def best_two_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> DataFrame:
-    """The rows of ``pieces`` (id, piece, length ...) with sequence_id and offset. ``docs``: about how many there are."""
+    """The rows of ``pieces`` (id, piece, length ...) with sequence_id and offset. ``docs``: about how many there are.
+
+    Only numbers are packed: pieces with their ids are written first, and what was packed is joined to them.
+    """
+    if "ids" in pieces.columns:
+        rows = materialise(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+        placed = pack(rows.select("_row", "id", "piece", "length", "ids_crc32"), docs, p)
+        return rows.join(placed.select("_row", "sequence_id", "offset"), "_row").drop("_row")
     groups = max(1, ceil(docs / p.group))
     names = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id bigint, offset bigint"
@@ -241,8 +253,6 @@ def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> Da
 
 def packing_digest(docs: DataFrame, p: PackingParams = PackingParams()) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    from blockflow.runtime import materialise
-
     pieces = materialise(tokenise(docs, p, with_ids=False), "pieces")
     return pack(pieces, docs.count(), p).withColumnRenamed("id", "doc_id")
 

@@ -31,6 +31,8 @@ from blockflow.runtime import materialise
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
+#: Up to so many strata (a row of six values each) the rules are broadcast.
+MOST_BROADCAST = 10_000
 
 
 @dataclass(frozen=True)
@@ -123,8 +125,8 @@ def is_safe(rejected: int, n: int, share: float, delta: float) -> bool:
     return n > 0 and rejected < share * n and log_tail(rejected, n, share) <= log(delta)
 
 
-def calibrate(counts: DataFrame, labels: DataFrame, p: QualityParams = QualityParams(), id_column: str = "doc_id") -> DataFrame:
-    """stratum, rule, cutoff, good, good_rejected, bad_rejected: the rules that are on.
+def calibrate(counts: DataFrame, labels: DataFrame, p: QualityParams = QualityParams(), id_column: str = "doc_id") -> list[tuple]:
+    """(stratum, rule, cutoff, good, good rejected, bad rejected) of the rules that are on.
 
     ``counts`` has the id, ``_stratum`` and ``_counts``; ``labels`` the id and quality (1 good, 0 bad). What comes
     to the driver is a histogram: strata x rules x grid cells, however many documents there are.
@@ -134,8 +136,7 @@ def calibrate(counts: DataFrame, labels: DataFrame, p: QualityParams = QualityPa
     cell = lambda name: F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), lambda g: g < ratio(name, F.col("_counts"))))
     cells = holdout.select("_stratum", (F.col("q") == 1).alias("good"), F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), cell(r).alias("cell")) for r in GRIDS))).alias("c"))
     table = cells.groupBy("_stratum", "good", "c.rule", "c.cell").agg(F.count(F.lit(1)).alias("n")).collect()
-    chosen = choose({(r["_stratum"], r["rule"], r["cell"], r["good"]): r["n"] for r in table}, p)
-    return counts.sparkSession.createDataFrame(chosen, "stratum string, rule string, cutoff double, good bigint, good_rejected bigint, bad_rejected bigint")
+    return choose({(r["_stratum"], r["rule"], r["cell"], r["good"]): r["n"] for r in table}, p)
 
 
 def choose(table: dict[tuple[str, str, int, bool], int], p: QualityParams) -> list[tuple]:
@@ -156,9 +157,14 @@ def choose(table: dict[tuple[str, str, int, bool], int], p: QualityParams) -> li
     return out
 
 
-def judge(counts: DataFrame, rules: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
+def judge(counts: DataFrame, rules: list[tuple], p: QualityParams = QualityParams()) -> DataFrame:
     """All columns of ``counts`` and base_failed, kept, rejected_by (the learned rules that reject, in order)."""
-    wide = rules.groupBy(F.col("stratum").alias("_rule_stratum")).agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in GRIDS))
+    by: dict[str, dict[str, float]] = {}
+    for stratum, rule, cutoff, *_ in rules:
+        by.setdefault(stratum, {})[rule] = cutoff
+    wide = counts.sparkSession.createDataFrame([(s, *(c.get(r) for r in GRIDS)) for s, c in by.items()], ", ".join(["_rule_stratum string", *(f"_cut_{r} double" for r in GRIDS)]))
+    if len(by) <= MOST_BROADCAST:  # its size is known here
+        wide = F.broadcast(wide)
     judged = counts.join(wide, F.col("_stratum") == F.col("_rule_stratum"), "left")
     hit = F.filter(F.array(*(F.when(ratio(r, F.col("_counts")) > F.col(f"_cut_{r}"), F.lit(r)) for r in GRIDS)), lambda x: x.isNotNull())
     failed = base_failed(F.col("_counts"), p)
@@ -178,9 +184,7 @@ def quality_digest(docs: DataFrame, labels: DataFrame, p: QualityParams = Qualit
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
-    """The rows of ``docs`` that are kept, with its columns."""
-    few = _with_stratum(docs.select("doc_id", "text", p.stratum), p).drop(p.stratum)
-    labelled = few.join(labels.select(F.col("doc_id").alias("_l")).distinct(), F.col("doc_id") == F.col("_l"), "left_semi")
-    rules = calibrate(with_counts(labelled).drop("text"), labels, p)
-    judged = judge(_with_stratum(with_counts(docs), p), rules, p)
-    return judged.where("kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs`` that are kept, with its columns. Rows and counts are written once, so no text is shuffled."""
+    rows = materialise(_with_stratum(with_counts(docs), p), "quality-rows")
+    rules = calibrate(rows.select("doc_id", "_stratum", "_counts"), labels, p)
+    return judge(rows, rules, p).where("kept").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -18,7 +18,7 @@ from blockflow.llm.packing import PackingParams, pack, tokenise
 from blockflow.llm.quality import keep_good
 from blockflow.llm.secrets import redact
 from blockflow.llm.simhash import keep_one
-from blockflow.runtime import materialise, read_table, shared_path
+from blockflow.runtime import read_table, shared_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,8 +42,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset."""
     p = PackingParams()
-    pieces = materialise(tokenise(docs, p), "pipeline-pieces")
-    return pack(pieces, docs.count(), p).withColumnRenamed("id", "doc_id")
+    return pack(tokenise(docs, p), docs.count(), p).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Stage]] = [
