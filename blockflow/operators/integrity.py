@@ -147,10 +147,14 @@ def orphans(transactions: DataFrame, blocks: DataFrame) -> DataFrame:
     return transactions.join(blocks.select("round"), "round", "left_anti")
 
 
+def missing_app_id() -> Column:
+    """An application call without its application (null or 0)."""
+    return (F.col("type") == "appl") & (F.col("app_id").isNull() | (F.col("app_id") == 0))
+
+
 def backfill_app_ids(transactions: DataFrame, derived: Column) -> DataFrame:
-    """Fills app_id of application calls that have none (null or 0)."""
-    empty = (F.col("type") == "appl") & (F.col("app_id").isNull() | (F.col("app_id") == 0))
-    return transactions.withColumn("app_id", F.when(empty, F.nullif(derived, F.lit(0).cast("bigint"))).otherwise(F.col("app_id")))
+    """Fills app_id of application calls that have none."""
+    return transactions.withColumn("app_id", F.when(missing_app_id(), F.nullif(derived, F.lit(0).cast("bigint"))).otherwise(F.col("app_id")))
 
 
 # ---- checkpoints ------------------------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ in the state; payloads stay in their files and are joined by round when they are
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,10 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from blockflow.config import Config
+from blockflow.functions.errors import retryable, with_retry
 from blockflow.operators import integrity
 from blockflow.runtime import ship
 from blockflow.sources import segments
-from blockflow.sources.sinks import Sink
+from blockflow.sources.live import BlockClient, read_live
+from blockflow.sources.sinks import Sink, decoded_archive, replay
+from blockflow.streaming.observe import Health
 
 RELEASED = "chain string, round bigint, block_hash string, previous_block_hash string, linked boolean"
 
@@ -129,8 +134,6 @@ def validate(blocks: DataFrame, sink: Sink, done: int | None) -> None:
 
 def follow_archive(spark: SparkSession, root: str, sink: Sink, checkpoint: str, until: int | None = None, window: int = 0, start: int = 0):
     """A streaming query that delivers an archive, as it grows, to a sink; with ``until`` it ends when there is no more."""
-    from blockflow.sources.sinks import decoded_archive
-
     segments.register(spark)
     source = spark.readStream.format("blockseg").option("path", root).option("from", str(start))
     if window and getattr(sink, "cursor", None):
@@ -142,6 +145,53 @@ def follow_archive(spark: SparkSession, root: str, sink: Sink, checkpoint: str,
     return (writer.trigger(availableNow=True) if until is not None else writer.trigger(processingTime="200 milliseconds")).start()
 
 
+def follow_live(spark: SparkSession, factory: Callable[[], BlockClient], sink: Sink, config: Config, until: int | None = None, poll: float = 1.0, health: Health | None = None, stop: Callable[[], bool] = lambda: False) -> int | None:
+    """Fetch from a node and commit, round after round, until ``until`` (or ``stop()``); returns the sink's cursor.
+
+    Each turn takes the rounds up to the tip, at most a window of them, fetched in tasks; at the tip that is one block.
+    A failed turn changes nothing and is repeated; an error that no repeat can heal ends the run.
+    """
+    client = factory()
+    tip = with_retry(client.last_round)
+    next_ = start_round(sink.last_processed_round(), config.first_round, tip, sink.max_block_round())
+    commit, turn = commit_to(sink), 0
+    while not stop() and (until is None or next_ <= until):
+        tip = with_retry(client.last_round)
+        last = min(tip, next_ + config.fetch_window - 1, tip if until is None else until)
+        if health:
+            done = sink.last_processed_round()
+            health.update(tip=tip, next_commit=next_, has_checkpoint=done is not None, checkpoint=done or 0)
+        if last < next_:
+            time.sleep(poll)
+            continue
+        try:
+            commit(read_live(spark, factory, next_, last, config.fetch_workers), turn)
+        except ValueError:
+            if health:
+                health.update(failed=True)
+            raise  # the chain itself is wrong
+        except Exception as e:
+            if not retryable(e):
+                raise
+            if health:
+                health.update(sink_error=str(e)[:200])
+            time.sleep(min(poll, 0.5))
+            continue
+        if health:
+            health.update(sink_error="", has_checkpoint=True, checkpoint=last)
+        next_, turn = last + 1, turn + 1
+    return sink.last_processed_round()
+
+
+def bootstrap(spark: SparkSession, root: str, factory: Callable[[], BlockClient], sink: Sink, config: Config, end: int, start: int = 0) -> int | None:
+    """History from an archive, then live blocks up to ``end``, into one sink; a repeat goes on where the sink stands."""
+    cp, done = segments.read_checkpoint(root), sink.last_processed_round()
+    first = start if done is None else done + 1
+    if cp is not None and first <= min(cp, end):
+        replay(spark, root, sink, first, min(cp, end))
+    return follow_live(spark, factory, sink, config, until=end)
+
+
 # ---- handoff and consumers --------------------------------------------------------------------------------------------
 
 

@@ -213,3 +213,61 @@ def test_consumer(spark, tmp_path):
         L.consume(spark, root, handler, G.CursorFile(""), start=3)
     assert e.value.kind == "not_found"
     assert not os.path.exists("cursor")
+
+
+def test_follow_live_and_bootstrap(spark, tmp_path):
+    from blockflow import config
+    from blockflow.streaming.observe import Health
+
+    c = config.load({"archive_root": str(tmp_path / "x"), "start_round": "0", "fetch_workers": 4, "fetch_window": 40}, {})
+    sink, health = ParquetSink(spark, str(tmp_path / "p")), Health()
+    assert L.follow_live(spark, node, sink, c, until=99, health=health) == 99
+    assert rounds(sink.blocks()) == list(range(100)) and sink.transactions().count() == 100 and health.checkpoint == 99 and health.ready
+    assert L.follow_live(spark, node, sink, c, until=120) == 120  # goes on behind the cursor
+    with pytest.raises(ValueError):
+        L.follow_live(spark, lambda: Node(300, wrong=(130,)), sink, c, until=140, health=health)
+    assert health.mode == "failed" and sink.last_processed_round() == 120
+    root, other = str(tmp_path / "a"), ArchiveSink(spark, str(tmp_path / "b"), 50)
+    G.write_archive(chain(spark, 0, 60, 1), root)
+    assert L.bootstrap(spark, root, node, other, c, end=80) == 80
+    assert G.compare_archives(spark, root, other.root, 0, 59).first().ok and G.verify_archive(spark, other.root).first().blocks == 81
+
+
+def test_explorer_routes(spark):
+    from blockflow.plans import views as V
+    from blockflow.plans.api import Explorer
+
+    d = "/root/testdata/sf0.001"
+    e = Explorer(V.blocks(spark, d), V.transactions(spark, d, ordinal=True), 10, V.balances(spark, d))
+    assert e.get("/api/status")[1]["last_processed_round"] == 10
+    assert [b["round"] for b in e.get("/api/blocks", {"limit": "3", "before": "100"})[1]] == [99, 98, 97]
+    assert len(e.get("/api/blocks", {"limit": "junk"})[1]) == 40
+    assert e.get("/api/blocks/x")[0] == 400 and e.get("/api/blocks/99999999")[0] == 404 and e.get("/nothing")[0] == 404
+    status, block = e.get("/api/blocks/77")
+    assert status == 200 and len(block["transactions"]) == block["txn_count"]
+    assert all(t.get("app_id", 1) > 0 for t in e.get("/api/transactions")[1])
+    assert len(e.get("/api/senders")[1]) == 10 and "balance_known" in e.get("/api/senders")[1][0]
+    assert len(e.get("/api/apps", {"limit": "5"})[1]) == 5 and len(e.get("/api/busy-blocks", {"limit": "51"})[1]) == 10
+
+
+def test_tools(spark, tmp_path, capsys):
+    from blockflow.__main__ import main
+
+    a, b, p = (str(tmp_path / x) for x in "abp")
+    G.write_archive(chain(spark, 0, 25, 1), a, 10)
+    assert main(["verify", a]) == 0 and main(["info", a]) == 0
+    assert main(["export", a, b, "--from", "5", "--to", "20"]) == 0 and main(["compare", a, b, "--from", "5", "--to", "20"]) == 0
+    assert main(["compare", a, b]) == 1 and main(["import", a, b]) == 1
+    assert main(["prune", b, "--keep", "4"]) == 0 and main(["prune", b, "--keep", "40"]) == 0
+    assert main(["replay", a, "--parquet", p]) == 0 and ParquetSink(spark, p).last_processed_round() == 24
+    out = capsys.readouterr().out
+    assert "pruned before 17" in out and "nothing to prune" in out and '"segments": 3' in out
+
+
+def test_app_ids_from_payloads(spark):
+    from blockflow.functions.chain import derive_app_ids, make_block
+
+    b = make_block(3, transactions=3, kind="appl")
+    rows = [(t["txid"], "appl", None if k else 99, bytearray(t["raw"])) for k, t in enumerate(b["transactions"])] + [("x", "appl", 0, bytearray(b"junk")), ("y", "pay", None, None), ("z", None, None, None)]
+    got = derive_app_ids(spark.createDataFrame(rows, "txid string, type string, app_id long, raw_transaction binary")).collect()
+    assert sorted((r.app_id or 0) for r in got) == [0, 0, 0, 8, 9, 99]
