@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Payload codec, hashes and error classes."""

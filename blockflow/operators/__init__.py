@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Explorer, integrity and summary operators on DataFrames of blocks and transactions."""

@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Views over the test tables, the registered queries with their SQL, and the explorer routes."""

@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""The segment archive as a data source, node clients, and durable sinks."""

@@ -1 +1 @@
-"""See the package README for what lives here."""
+"""Ordered release, following, handoff, consumers, health and metrics."""
