@@ -15,8 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 
 
+_BATCH, _BATCH_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor (once per application)."""
+    """Make this package importable in the Python workers of every executor (once per application).
+
+    Arrow batches are bounded by bytes, unless the session has a bound of its own: the default holds many long texts, in
+    the executor's buffers and again in Python.
+    """
+    if spark.conf.get(_BATCH, str(_BATCH_DEFAULT)).rstrip("b") == str(_BATCH_DEFAULT):
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
