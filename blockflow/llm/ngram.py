@@ -41,21 +41,23 @@ START = xxhash.xxh64_intdigest(b" start") & LOW48
 END = xxhash.xxh64_intdigest(b" end") & LOW48
 
 
+#: A shard is summed in one task's memory, so there are more of them for more text.
+SHARD_BYTES = 16 << 20
 #: Texts are scored in blocks of so many bytes: about 30 numbers are held for each token.
-SCORED_BYTES = 3 << 20
+SCORED_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
 class NgramParams:
     order: int = 2  #: longest n-gram
-    tokens: int = 1_500_000  #: a task counts so many tokens before it sends what it has
-    shards: int | None = None  #: array files of an order; None: as many as shuffle partitions
+    tokens: int = 1_000_000  #: a task counts so many tokens before it sends what it has
+    shards: int | None = None  #: array files of an order; None: one for SHARD_BYTES of text, and as many as shuffle partitions at least
 
 
 class Hashes(dict):
     """The hash of each token, with a bounded memory."""
 
-    MOST = 400_000
+    MOST = 250_000
 
     def __missing__(self, token: bytes) -> int:
         value = xxhash.xxh64_intdigest(token) & LOW48
@@ -261,9 +263,11 @@ def train(docs: DataFrame, p: NgramParams = NgramParams(), text: str = "text") -
     """Count the texts of ``docs`` and write the model; returns what ``Model`` needs (a small dictionary)."""
     spark = docs.sparkSession
     ship(spark)
-    shards = min(p.shards or int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15)
+    texts = docs.select(text_column(docs, text).cast("binary").alias("_text"))
+    size = 0 if p.shards else texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    shards = min(p.shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES), 1 << 16)
     folder = shared_path(spark, "ngrams")
-    rows = _count(docs.select(text_column(docs, text).cast("binary").alias("_text")), p, shards)
+    rows = _count(texts, p, shards)
     model = {"folder": folder, "order": p.order, "shards": shards, "levels": {}}
     tables: list[str] = []
     for level in range(p.order, 0, -1):
