@@ -21,19 +21,23 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockflow.llm.arraystore import discounts, find, mix, open_arrays, write_arrays
-from blockflow.llm.common import map_blocks, text_column
+from blockflow.llm.common import held, map_blocks, text_column
 from blockflow.runtime import shared_path
 
 UNKNOWN = "und"
 START, END = "\x02", "\x03"
-WORDS = re.compile(r"[^\W\d_]+")
+_RUNS = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters in lower case; number forms such as U+00BD aren't letters."""
+    return [w for r in _RUNS.findall(text.lower()) if (w := r if r.isalpha() else "".join(filter(str.isalpha, r)))]
 
 
 @dataclass(frozen=True)
@@ -54,8 +58,15 @@ def sample(docs: DataFrame, p: LanguageParams, id_column: str, text: str, label:
     """(language, text, rank) of the sample; ``documents`` of a language at most."""
     rows = docs.select(F.col(label).cast("string").alias("lang"), F.col(text).cast("string").alias("t")).where("lang is not null and t is not null")
     distinct = rows.select("lang", F.xxhash64("t").alias("h"), F.length("t").alias("n")).groupBy("lang", "h").agg(F.max("n").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    few = distinct.withColumn("rank", rank).where(F.col("rank") <= p.documents)
+    # a hash below a bound that about twice the wanted texts of a language pass: few rows are left to be ranked
+    totals = [(r["lang"], r["total"]) for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("total")).collect()]  # a row for each language
+    if not totals:
+        return []
+    share = F.least(F.lit(1.0), F.lit(2.0 * p.documents + 100) / F.col("total"))
+    counts = F.broadcast(docs.sparkSession.createDataFrame(totals, "lang string, total bigint"))
+    passed = distinct.join(counts, "lang").where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    few = passed.withColumn("rank", rank).where(F.col("rank") <= p.documents)
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("rank")) - F.col("n")
     few = few.withColumn("before", before).where(F.col("before") < p.characters).select("lang", "h", "rank")
     chosen = {(r["lang"], r["h"]): r["rank"] for r in few.collect()}  # bounded by the parameters, for each language
@@ -148,7 +159,7 @@ def fit(counts: dict[str, Counter], order: int) -> dict[str, np.ndarray]:
 class Scorer:
     """Log probabilities of texts under all models, with a bounded cache of the chunks between white space."""
 
-    MOST = 400_000
+    MOST = 250_000
 
     def __init__(self, arrays: dict[str, np.ndarray], langs: list[str], order: int) -> None:
         self.a, self.langs, self.order = arrays, langs, order
@@ -189,7 +200,7 @@ class Scorer:
 
     def _learn(self, chunks: list[str]) -> None:
         """Cache the rows of new chunks; a chunk may hold several words or none."""
-        found = [WORDS.findall(c.lower()) for c in chunks]
+        found = [words_of(c) for c in chunks]
         words = list(dict.fromkeys(w for f in found for w in f))
         at = {w: i for i, w in enumerate(words)}
         values = self.words(words)
@@ -267,7 +278,7 @@ def train(docs: DataFrame, p: LanguageParams = LanguageParams(), id_column: str
     kept = [r for r in rows if r[2] % p.calibration]
     counts: dict[str, Counter] = {}
     for lang, t, _ in kept or rows:
-        words = WORDS.findall(t.lower())
+        words = words_of(t)
         if words:
             counts.setdefault(lang, Counter()).update(words)
     if not counts:
@@ -282,10 +293,12 @@ def train(docs: DataFrame, p: LanguageParams = LanguageParams(), id_column: str
     return uri
 
 
-@lru_cache(2)
 def _scorer(uri: str) -> tuple[Scorer, dict]:
-    arrays, extra = open_arrays(uri)
-    return Scorer(arrays, extra["langs"], extra["order"]), extra
+    def make() -> tuple[Scorer, dict]:
+        arrays, extra = open_arrays(uri)
+        return Scorer(arrays, extra["langs"], extra["order"]), extra
+
+    return held(uri, make)
 
 
 def judge(texts: list[str | None], uri: str | None, p: LanguageParams) -> tuple[list[str], list[float], list[bool]]:
