@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockflow.llm.common import map_blocks, text_column
-from blockflow.runtime import materialise, ship
+from blockflow.runtime import materialise, remove, ship
 
 BITS = 64
 
@@ -255,18 +255,21 @@ def _variants_all(fp: Column, radius: int) -> Column:
 
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """node, root: the smallest node that can be reached, for each node of an edge (a, b), by star contraction."""
-    edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
+    tables: list[str] = []
+    edges = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label, tables)
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # large star: the larger neighbours of a node go to its smallest neighbour, or itself
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialise(large.where("a <> b").distinct(), label)
+        large = materialise(large.where("a <> b").distinct(), label, tables)
         # small star: a node and its smaller neighbours go to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        edges = materialise(small.where("a <> b").distinct(), label)
+        edges = materialise(small.where("a <> b").distinct(), label, tables)
+        while len(tables) > 1:  # only the last is read again
+            remove(edges.sparkSession, tables.pop(0))
         new = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == state:
             break
@@ -295,7 +298,11 @@ def simhash_digest(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataF
 def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component; of equal rows of such an id, one.
 
-    A null id stands for no document that could be chosen, so it stays only if its whole component has none.
+    A null id stands for no document that could be chosen: one such row stays if a component has no other.
     """
     keep = near_duplicates(docs, p, id_column, text).where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_keep")).distinct()
-    return docs.join(keep, docs[id_column].eqNullSafe(keep._keep), "left_semi").dropDuplicates([id_column])
+    key = F.col(f"`{id_column}`")
+    # equal keys on both sides and in the deduplication: the texts are shuffled once
+    named = docs.where(key.isNotNull()).join(keep.where("_keep is not null"), key == F.col("_keep"), "left_semi").dropDuplicates([id_column])
+    unnamed = docs.where(key.isNull()).dropDuplicates([id_column])  # one row at most
+    return named.unionByName(unnamed.join(F.broadcast(keep.where("_keep is null").limit(1)), F.lit(True), "left_semi"))
