@@ -48,12 +48,12 @@ tails AS (
          sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({share!r}) + (n - x) * ln(1 - {share!r}))) AS tail
   FROM (SELECT *, unnest(range(0, least(k, n - 1) + 1)) AS x FROM tests WHERE n > 0 AND k < {share!r} * n) GROUP BY 1, 2, 3),
 safe AS (
-  SELECT t.stratum, t.rule, t.j, t.cutoff, t.bad,
+  SELECT t.stratum, t.rule, t.j, t.cutoff, t.bad - {p.cost!r} * t.k AS gain,
          coalesce(s.tail <= {p.delta!r} / ((SELECT count(DISTINCT stratum) FROM cells) * {len(GRIDS)}), false) AS ok
   FROM tests t LEFT JOIN tails s USING (stratum, rule, j)),
 open AS (SELECT *, min(ok::INTEGER) OVER (PARTITION BY stratum, rule ORDER BY j DESC) = 1 AS reached FROM safe),
 chosen AS (
-  SELECT stratum, rule, cutoff FROM open WHERE reached AND bad > 0
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad DESC, j DESC) = 1),
+  SELECT stratum, rule, cutoff FROM open WHERE reached AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, j DESC) = 1),
 hits AS (SELECT k.*, list_filter([{over}], lambda x: x IS NOT NULL) AS rejected_by FROM judged k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND len(rejected_by) = 0 AS kept, rejected_by FROM hits"""

@@ -8,7 +8,8 @@ each stratum (language) on labelled holdouts:
   rejects is at most ``alpha / rules``, at confidence ``1 - delta / (strata * rules)`` (Bonferroni);
 * within a stratum and rule cutoffs are tested from the most lenient to the strictest and the testing stops at
   the first failure (fixed-sequence testing), so the grid needs no further correction;
-* the strictest safe cutoff is used, if it rejects a labelled bad document; else the rule is off there.
+* of the safe cutoffs the one is used that rejects most labelled bad documents, less ``cost`` for each good one; the rule
+  is off where that is nothing.
 
 So with probability 1 - delta every stratum loses at most ``alpha`` of its good documents. A stratum with too few
 labels to prove that, or with none, gets no rule beyond the base.
@@ -37,7 +38,8 @@ MOST_BROADCAST = 10_000
 
 @dataclass(frozen=True)
 class QualityParams:
-    alpha: float = 0.02  #: most good documents that the learned rules may reject, as a share of a stratum
+    alpha: float = 0.05  #: most good documents that the learned rules may reject, as a share of a stratum
+    cost: float = 10.0  #: how many bad documents a rejected good one weighs when a cutoff is chosen among the safe ones
     delta: float = 0.05  #: probability that this fails anywhere
     min_words: int = 10  #: base rule: fewer words fail
     max_repeat_percent: int = 20  #: base rule: more words than this in repeated windows fail
@@ -150,10 +152,11 @@ def choose(table: dict[tuple[str, str, int, bool], int], p: QualityParams) -> li
             for j in range(len(grid) - 1, -1, -1):  # the cutoff grid[j] rejects the cells above j
                 if not is_safe(count(True, j + 1), n, p.alpha / len(GRIDS), p.delta / (len(strata) * len(GRIDS))):
                     break
-                if count(False, j + 1) and (best is None or count(False, j + 1) > best[-1]):
-                    best = (s, r, grid[j], n, count(True, j + 1), count(False, j + 1))
+                gain = count(False, j + 1) - p.cost * count(True, j + 1)
+                if gain > (best[0] if best else 0):
+                    best = (gain, (s, r, grid[j], n, count(True, j + 1), count(False, j + 1)))
             if best:
-                out.append(best)
+                out.append(best[1])
     return out
 
 
