@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil
 from unicodedata import is_normalized
@@ -65,7 +66,8 @@ class ChunkEncoder:
     model gets it directly. Any other chunk goes through the whole tokenizer. Other tokenizers get whole texts.
     """
 
-    MARKS = ".,!?;:"
+    #: Signs that may follow a word: none of those that special tokens or contractions are made of.
+    MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<>|")
     MOST = 400_000
 
     def __init__(self, path: str) -> None:
@@ -82,7 +84,8 @@ class ChunkEncoder:
         splits = [n.get("pattern") for n in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.by_chunk = kinds == ["NFC", "Replace", "Lowercase"] and splits == [{"Regex": WORD_PATTERN}, None] and not spec["post_processor"]
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.cores: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}  # words and marks
+        self.chunks = _Chunks(self._chunk)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -97,33 +100,46 @@ class ChunkEncoder:
         """The ids of each text (UTF-8)."""
         if not self.by_chunk:
             return self._encode([t.decode() for t in texts])
-        split = [t.split() for t in texts]  # at ASCII white space; any other stays within its chunk
-        chunks: dict[bytes, bytes] = dict.fromkeys((c for s in split for c in s), b"")
-        cores, marks, word = self.cores, self.MARKS, self._word
-        whole: dict[str, bytes] = {}
-        for b in chunks:
-            c = b.decode()
-            core = c.rstrip(marks)
-            low = core.lower()
-            if low and not (low.isalpha() and (core.isascii() or is_normalized("NFC", core) and "\u03a3" not in core)):
-                whole[c] = b""
-                continue
-            if low not in cores:
-                cores[low] = word(low)
-            tail = c[len(core) :]
-            if tail not in cores:
-                cores[tail] = self._encode([tail])[0]
-            chunks[b] = cores[low] + cores[tail]
-        if whole:
-            names = list(whole)
-            whole.update(zip(names, self._encode(names), strict=True))
-            chunks.update((c.encode(), ids) for c, ids in whole.items())
-        out = [b"".join(map(chunks.__getitem__, s)) for s in split]
-        if len(cores) > self.MOST or any(len(c) > 1000 for c in chunks):
-            cores.clear()
-            cores[""] = b""
+        get = self.chunks.__getitem__
+        out = [b"".join(map(get, t.split())) for t in texts]  # at ASCII white space; any other stays within its chunk
+        if len(self.chunks) > self.MOST or len(self.cores) > self.MOST:
+            self.chunks.clear()
+            self.cores.clear()
+            self.cores[""] = b""
         return out
 
+    def _chunk(self, chunk: bytes) -> bytes:
+        """The ids of a chunk."""
+        c = chunk.decode()
+        core, cores = c.rstrip(self.MARKS), self.cores
+        low = core.lower()
+        if low and not (low.isalpha() and (core.isascii() or is_normalized("NFC", core) and "\u03a3" not in core)):
+            return self._encode([c])[0]
+        tail = c[len(core) :]
+        out = []
+        for part, find in ((low, self._word), (tail, lambda t: self._encode([t])[0])):
+            ids = cores.get(part)
+            if ids is None:
+                ids = find(part)
+                if len(part) <= 200:
+                    cores[part] = ids
+            out.append(ids)
+        return out[0] + out[1]
+
+
+class _Chunks(dict):
+    """ids of chunks, found once; very long ones aren't kept."""
+
+    def __init__(self, find: Callable[[bytes], bytes]) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.find(chunk)
+        if len(chunk) <= 200:
+            self[chunk] = ids
+        return ids
+
 
 def encoder(path: str) -> ChunkEncoder:
     """The process's encoder of a tokenizer file."""
