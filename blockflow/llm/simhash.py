@@ -69,15 +69,17 @@ def fingerprint(text: bytes, words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, fp (the fingerprint as a signed long) for each row."""
+def fingerprints(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text", keys: dict[str, Column] | None = None) -> DataFrame:
+    """id, fp (the fingerprint as a signed long) for each row, and the longs ``keys``."""
+    keys = keys or {}
 
     def block(c: dict) -> dict:
         values = np.array([fingerprint(t, p.words) for t in c["_text"]], dtype=np.uint64)
-        return {"id": c["id"], "fp": pa.array(values.view(np.int64))}
+        return {"id": c["id"], "fp": pa.array(values.view(np.int64))} | {k: c[k] for k in names}
 
-    rows = docs.select(docs[id_column].alias("id"), text_column(docs, text).cast("binary").alias("_text"))
-    return map_blocks(rows, block, f"id {dict(docs.dtypes)[id_column]}, fp bigint", "_text")
+    names = list(keys)
+    rows = docs.select(docs[id_column].alias("id"), text_column(docs, text).cast("binary").alias("_text"), *(v.alias(k) for k, v in keys.items()))
+    return map_blocks(rows, block, ", ".join([f"id {dict(docs.dtypes)[id_column]}, fp bigint", *(f"{k} bigint" for k in names)]), "_text")
 
 
 # ---- statistics of all fingerprints ---------------------------------------------------------------------
@@ -277,16 +279,26 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()).groupBy("node").agg(F.min("root").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, fp, component: each row's fingerprint and the smallest id of its component."""
-    rows = materialise(fingerprints(docs, p, id_column, text), "fingerprints")
+def row_keys(docs: DataFrame, id_column: str, text: str) -> dict[str, Column]:
+    """Two hashes of a row's id and text."""
+    return {f"_h{k}": F.xxhash64(F.lit(k), docs[id_column].isNull(), docs[id_column], text_column(docs, text)) for k in (1, 2)}
+
+
+def _grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
+    """``rows`` (id, fp and others) with root, the same for each row of a component, and component, its smallest id."""
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     joined = components(links(distinct.select("fp"), p))
     linked = joined.join(distinct, joined.node == distinct.fp).select("fp", "root", "least")
     by_root = linked.groupBy("root").agg(F.min("least").alias("component"))
-    known = materialise(linked.join(by_root, "root").select("fp", "component"), "linked")
-    least = distinct.join(known, "fp", "left").select("fp", F.coalesce("component", "least").alias("component"))
-    return rows.join(least, "fp", "left").select("id", "fp", "component")
+    known = materialise(linked.join(by_root, "root").select("fp", "root", "component"), "linked")
+    least = distinct.join(known, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"))
+    return rows.join(least, "fp", "left")
+
+
+def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, fp, component: each row's fingerprint and the smallest id of its component."""
+    rows = materialise(fingerprints(docs, p, id_column, text), "fingerprints")
+    return _grouped(rows, p).select("id", "fp", "component")
 
 
 def simhash_digest(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
@@ -296,13 +308,13 @@ def simhash_digest(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataF
 
 
 def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; of equal rows of such an id, one.
+    """One row of each component: of its smallest id, and of that id's texts the one with the smallest hash.
 
-    A null id stands for no document that could be chosen: one such row stays if a component has no other.
+    A null id comes after all others, so such a row stays only if its component has no named one.
     """
-    keep = near_duplicates(docs, p, id_column, text).where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("_keep")).distinct()
-    key = F.col(f"`{id_column}`")
+    keys = row_keys(docs, id_column, text)
+    rows = materialise(fingerprints(docs, p, id_column, text, keys), "fingerprints")
+    first = _grouped(rows, p).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_h1", "_h2")).alias("x"))
     # equal keys on both sides and in the deduplication: the texts are shuffled once
-    named = docs.where(key.isNotNull()).join(keep.where("_keep is not null"), key == F.col("_keep"), "left_semi").dropDuplicates([id_column])
-    unnamed = docs.where(key.isNull()).dropDuplicates([id_column])  # one row at most
-    return named.unionByName(unnamed.join(F.broadcast(keep.where("_keep is null").limit(1)), F.lit(True), "left_semi"))
+    kept = docs.withColumns(keys).join(first.select("x._h1", "x._h2"), ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"])
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

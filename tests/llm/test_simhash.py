@@ -114,3 +114,15 @@ def test_bit_groups_follow_correlation():
     assert sorted(b for g in groups for b in g) == list(range(64))
     assert any({3, 40} <= set(g) for g in groups)
 
+
+
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(500)]
+    a, b, c, d, e = (" ".join(rng.choices(words, k=200)) for _ in range(5))
+    # null ids: a copy of a named document, two texts without a named one (one of them twice); one id with two texts
+    rows = [(1, a), (None, a), (None, b), (None, b.upper()), (None, c), (7, d), (7, e), (7, e), (9, e)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text.lower()) for r in kept.collect()) == sorted([(1, a), (0, b), (0, c), (7, d), (7, e)])
