@@ -1,7 +1,7 @@
 """A cleaning pipeline over ``documents``: each stage's decisions take effect, its result is written and read again.
 
 quality (documents that the rules reject go) -> language (documents without an identified language go) ->
-near_duplicates (one document of each group stays) -> secrets (spans are masked in the text) -> packing (sequences).
+near_duplicates (one document of each group stays) -> near_copies (so does one of each group of edited copies) -> secrets (spans are masked in the text) -> packing (sequences).
 All stages but the last return the columns of documents; the last returns a row for each piece of a document with its
 ids and its place in a sequence.
 """
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blockflow.llm.common import held_out
 from blockflow.llm.language import keep_identified
+from blockflow.llm.nearcopies import drop_near_copies
 from blockflow.llm.packing import PackingParams, pack, tokenise
 from blockflow.llm.quality import keep_good
 from blockflow.llm.secrets import redact
@@ -35,6 +36,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keep_one(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact(docs)
 
@@ -49,6 +54,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("language", language),
     ("near_duplicates", near_duplicates),
+    ("near_copies", near_copies),
     ("secrets", secrets),
     ("packing", packing),
 ]
