@@ -234,10 +234,13 @@ def best_two_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> DataFrame:
     """The rows of ``pieces`` (id, piece, length ...) with sequence_id and offset. ``docs``: about how many there are.
 
-    Only numbers are packed: pieces with their ids are written first, and what was packed is joined to them.
+    Only numbers are packed: pieces with their ids are written first, and what was packed is joined to them. Rows are dealt
+    to groups by ``_row`` too, a written row number, so that repeated rows don't meet in one group.
     """
-    if "ids" in pieces.columns:
+    if "_row" not in pieces.columns:
         rows = materialise(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+        if "ids" not in pieces.columns:
+            return pack(rows, docs, p).drop("_row")
         placed = pack(rows.select("_row", "id", "piece", "length", "ids_crc32"), docs, p)
         return rows.join(placed.select("_row", "sequence_id", "offset"), "_row").drop("_row")
     groups = max(1, ceil(docs / p.group))
@@ -248,7 +251,7 @@ def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> Da
 
     def group(df: pd.DataFrame) -> pd.DataFrame:
         g = int(df["_group"].iloc[0])
-        df = df.sort_values([n for n in ("id", "piece", "ids_crc32") if n in names], kind="stable").reset_index(drop=True)
+        df = df.sort_values([n for n in ("id", "piece", "ids_crc32", "_row") if n in names], kind="stable").reset_index(drop=True)
         lengths = df["length"].tolist()
         order, sequence, offset = [], [], []
         for k, members in enumerate(best_two_fit(lengths, p.length)):
@@ -260,7 +263,7 @@ def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> Da
                 at += lengths[i]
         return df.iloc[order][names].assign(sequence_id=sequence, offset=offset)
 
-    keyed = rest.withColumn("_group", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(groups)))
+    keyed = rest.withColumn("_group", F.pmod(F.xxhash64("id", "piece", "ids_crc32", "_row"), F.lit(groups)))
     packed = keyed.groupBy("_group").applyInPandas(group, schema)
     # ids of the full ones: negative, unique over all partitions
     alone = full.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))
@@ -269,8 +272,7 @@ def pack(pieces: DataFrame, docs: int, p: PackingParams = PackingParams()) -> Da
 
 def packing_digest(docs: DataFrame, p: PackingParams = PackingParams()) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialise(tokenise(docs, p, with_ids=False), "pieces")
-    return pack(pieces, docs.count(), p).withColumnRenamed("id", "doc_id")
+    return pack(tokenise(docs, p, with_ids=False), docs.count(), p).withColumnRenamed("id", "doc_id")
 
 
 def pack_documents(docs: DataFrame, p: PackingParams = PackingParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

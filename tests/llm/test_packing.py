@@ -1,7 +1,7 @@
 import random
 import zlib
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
@@ -74,3 +74,11 @@ def test_whole_operator(spark):
             at = [x for (i, _, _), x in zip(rows, ids, strict=False) if i == m.id and x[m.start : m.start + m.length] == list(r.ids[m.offset : m.offset + m.length])]
             assert at
     assert K.packing_digest(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_spread_over_groups(spark):
+    docs = spark.createDataFrame([(1, "the same text") for _ in range(900)] + [(None, "another one") for _ in range(900)], "doc_id long, text string")
+    got = K.packing_digest(docs, K.PackingParams(group=100)).collect()
+    assert len(got) == 1800
+    groups = Counter(r.sequence_id >> 32 for r in got)
+    assert max(groups.values()) < 300
