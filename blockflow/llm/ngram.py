@@ -49,7 +49,7 @@ SCORED_BYTES = 2 << 20
 
 @dataclass(frozen=True)
 class NgramParams:
-    order: int = 2  #: longest n-gram
+    order: int = 3  #: longest n-gram
     tokens: int = 1_000_000  #: a task counts so many tokens before it sends what it has
     shards: int | None = None  #: array files of an order; None: one for SHARD_BYTES of text, and as many as shuffle partitions at least
 

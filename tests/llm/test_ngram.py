@@ -100,3 +100,10 @@ def test_beats_the_base_on_held_out_text(spark):
     learn = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
     r = N.ngram_digest(docs, learn).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > r.b
+
+
+def test_query_uses_more_than_one_word_of_context(spark):
+    # after "a x" comes b, after "c x" comes d: one word of context can't tell
+    docs = spark.createDataFrame([(k, "a x b" if k % 2 else "c x d") for k in range(200)] + [(1000, "a x b"), (1001, "a x d")], "doc_id long, text string")
+    got = {r.doc_id: r.perplexity for r in N.ngram_digest(docs, F.col("doc_id") < 1000).collect()}
+    assert got[1000] * 1.5 < got[1001]
