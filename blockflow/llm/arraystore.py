@@ -17,8 +17,16 @@ from functools import lru_cache
 from urllib.parse import unquote, urlparse
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from blockflow.runtime import shared_path, ship
 
 _ALIGN = 64
+#: Keys in a file of a set, about.
+SET_KEYS = 1 << 20
 
 
 def _local(uri: str) -> str | None:
@@ -121,3 +129,41 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float,
     d2 = 2 - 3 * y * n3 / n2
     d3 = 3 - 4 * y * n4 / n3 if n3 else d2
     return min(max(d1, 0.05), 0.95), min(max(d2, 0.05), 1.95), min(max(d3, 0.05), 2.95)
+
+
+# ---- sets of keys: membership without a shuffle of what is filtered ----------------------------------------
+
+
+def write_set(keys: DataFrame) -> dict:
+    """Write the pairs of longs in the two columns of ``keys`` as sorted arrays; returns what ``in_set`` needs."""
+    ship(keys.sparkSession)
+    a, b = keys.columns
+    shards = keys.count() // SET_KEYS + 1
+    folder = shared_path(keys.sparkSession, "keys")
+
+    def write(t: pa.Table) -> pa.Table:
+        number, x, y = t.column("shard")[0].as_py(), t.column("a").to_numpy(), t.column("b").to_numpy()
+        order = np.lexsort((y, x))
+        write_arrays(f"{folder}/{number}", {"a": x[order], "b": y[order]})
+        return pa.table({"shard": pa.array([number], pa.int64())})
+
+    dealt = keys.select(F.pmod(F.col(a), F.lit(shards)).cast("bigint").alias("shard"), F.col(a).alias("a"), F.col(b).alias("b"))
+    return {"folder": folder, "shards": shards, "present": {r[0] for r in dealt.groupBy("shard").applyInArrow(write, "shard bigint").collect()}}
+
+
+def in_set(keys: dict, a: Column, b: Column) -> Column:
+    """Whether the pair of longs is in the set; only the keys go to Python."""
+
+    @F.pandas_udf("boolean")
+    def found(x: pd.Series, y: pd.Series) -> pd.Series:
+        x, y = x.to_numpy(np.int64), y.to_numpy(np.int64)
+        shard, out = x % keys["shards"], np.zeros(len(x), dtype=bool)
+        for s in np.unique(shard).tolist():
+            if s in keys["present"]:
+                arrays, own = open_arrays(f"{keys['folder']}/{s}")[0], np.flatnonzero(shard == s)
+                lo, hi = np.searchsorted(arrays["a"], x[own]), np.searchsorted(arrays["a"], x[own], "right")
+                for i, p, q in zip(own[lo < hi], lo[lo < hi], hi[lo < hi], strict=True):  # hardly ever more than one
+                    out[i] = y[i] in arrays["b"][p:q]
+        return pd.Series(out)
+
+    return found(a, b)

@@ -38,6 +38,21 @@ def text_column(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added where a column of ``df`` has one (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def own(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def map_blocks(df: DataFrame, fn: Callable[[dict[str, list]], dict], schema: str, text: str = "text", setup: Callable[[], object] | None = None, most: int = BLOCK_BYTES) -> DataFrame:
     """Apply ``fn`` to blocks of rows of at most ``most`` bytes of ``text``.
 

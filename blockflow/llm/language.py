@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blockflow.llm.arraystore import discounts, find, mix, open_arrays, write_arrays
-from blockflow.llm.common import held, map_blocks, text_column
+from blockflow.llm.common import fresh, held, map_blocks, own, text_column
 from blockflow.runtime import shared_path
 
 UNKNOWN = "und"
@@ -318,14 +318,16 @@ def judge(texts: list[str | None], uri: str | None, p: LanguageParams) -> tuple[
 
 
 def identify(docs: DataFrame, uri: str | None, p: LanguageParams = LanguageParams(), text: str = "text", to: tuple[str, str, str] = ("lang_pred", "score", "accepted")) -> DataFrame:
-    """All columns of ``docs`` and the prediction, its score, and whether it is accepted, in new columns ``to``."""
+    """All columns of ``docs`` and the prediction, its score, and whether it is accepted, in new columns ``to``, which ``docs`` may not have."""
+    if set(fresh(docs, *to)) != set(to):
+        raise ValueError(f"the columns {', '.join(to)} are taken; name others in 'to'")
     names = docs.columns
 
     def block(c: dict) -> dict:
         langs, score, accepted = judge(c[text], uri, p)
         return {n: c[n] for n in names} | dict(zip(to, (langs, score, accepted), strict=True))
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in to]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     return map_blocks(docs, block, ", ".join([*kept, f"{to[0]} string, {to[1]} double, {to[2]} boolean"]), text)
 
 
@@ -344,5 +346,5 @@ def language_digest(docs: DataFrame, learn: Column, p: LanguageParams = Language
 def keep_identified(docs: DataFrame, learn: Column, p: LanguageParams = LanguageParams()) -> DataFrame:
     """The rows whose language is identified, with the columns of ``docs``."""
     uri = train(docs.where(learn), p)
-    to = ("_lang_pred", "_lang_score", "_lang_accepted")
-    return identify(docs, uri, p, to=to).where(to[2]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    to = tuple(fresh(docs, "_lang_pred", "_lang_score", "_lang_accepted"))
+    return identify(docs, uri, p, to=to).where(to[2]).select(*own(docs))

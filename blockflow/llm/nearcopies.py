@@ -1,21 +1,26 @@
-"""Near copies with edits: documents that share most of their five-word shingles.
+"""Near duplicates with edits: the groups of SimHash, and among what they leave the documents that share most shingles.
 
-A SimHash at two differing bits finds little but exact copies. Here documents are linked if the Jaccard similarity of their
-sets of shingles is at least ``similarity``:
+SimHash fingerprints of 64 bits at five-word similarity 0.8 differ in some 10 bits (up to 17 in one pair of a hundred). No
+partition of 64 bits is selective at such a distance: by pigeonhole thresholds of 3 and more bits in parts of 16 would be
+probed, hundreds of values of which each is shared by one document in a hundred. So fingerprints link what is at most two
+bits apart, which are mostly exact copies; what those components leave is linked if the Jaccard similarity of the sets of
+shingles is at least ``similarity``:
 
-1. A task writes for each document the keys of its bands: each hashes ``rows`` minima of the document's shingles. Two
-   documents of similarity s share one with probability 1 - (1 - s^rows)^bands: 0.999997 at 0.8.
+1. One pass over the texts writes, as numbers, each row's fingerprint and the keys of its bands: a key hashes ``rows`` minima
+   of the shingles. Two documents of similarity s share one with probability 1 - (1 - s^rows)^bands: 0.999997 at 0.8.
 2. Documents that meet under a key are candidates. Under a crowded key they are compared with one of its members, another
    for each band, so pairs grow with the documents.
 3. Candidates are verified by their whole sets, which are made again for candidates alone.
-4. Components of the links; the smallest id of each stays.
+4. Components of the links; the smallest id of each stays. Texts are filtered by keys in mapped arrays, not shuffled.
 
-Edge cases: a text of fewer words than a shingle is one shingle; null and empty texts have none and stay; a null id goes
-before any other id does; rows of equal id and text are one document and stay or go together; other columns are kept.
+Edge cases: a text of fewer words than a shingle is one shingle; null and empty texts have no word and are exact copies of
+each other; a null id goes before any other id does; of rows of equal id and text one stays; other columns are kept, whatever
+their names; an empty table gives none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.llm.arraystore import mix
+from blockflow.llm.arraystore import in_set, mix, write_set
 from blockflow.llm.common import map_blocks, text_column
 from blockflow.llm.ngram import chain, tokens_of
-from blockflow.llm.simhash import components, row_keys
+from blockflow.llm.simhash import SimHashParams, components, fingerprint, first_rows, only, row_keys
 from blockflow.runtime import materialise
 
 
@@ -70,24 +75,17 @@ def band_keys(sets: list[np.ndarray], p: NearCopyParams) -> np.ndarray:
     return out
 
 
-def links(docs: DataFrame, p: NearCopyParams = NearCopyParams()) -> DataFrame:
-    """a, b (a < b): verified links between the rows (_node, _text as bytes) of ``docs``, which is read twice."""
+def links(filed: DataFrame, texts: Callable[[DataFrame], DataFrame], p: NearCopyParams = NearCopyParams()) -> DataFrame:
+    """a, b (a < b): verified links between nodes.
 
-    def keys(c: dict) -> dict | None:
-        sets = shingles(c["_text"], p.words)
-        full = [k for k, s in enumerate(sets) if len(s)]
-        if not full:
-            return None
-        keys = band_keys([sets[k] for k in full], p).view(np.int64)
-        offsets = pa.array(np.arange(len(full) + 1, dtype=np.int32) * p.bands)
-        return {"node": [c["_node"][k] for k in full], "keys": pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))}
+    ``filed``: node and keys (of bands); ``texts`` gives the rows (_node, _text as bytes) of the nodes asked for.
+    """
 
     def whole(c: dict) -> dict:
         sets = [np.unique(s).view(np.int64) for s in shingles(c["_text"], p.words)]
         offsets = pa.array(np.cumsum([0, *(len(s) for s in sets)], dtype=np.int32))
         return {"node": c["_node"], "s": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))}
 
-    filed = materialise(map_blocks(docs.select("_node", "_text"), keys, "node bigint, keys array<bigint>", "_text"), "near-keys")
     filed = filed.select("node", F.explode("keys").alias("key"))
     sizes = filed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("node", "key")).alias("one")).where("n > 1")
     met = materialise(filed.join(sizes, "key"), "near-met")
@@ -96,19 +94,46 @@ def links(docs: DataFrame, p: NearCopyParams = NearCopyParams()) -> DataFrame:
     direct = few.select(F.explode(pair).alias("l")).select("l.a", "l.b")
     starred = met.where((F.col("n") > p.bucket) & (F.col("node") != F.col("one"))).select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b"))
     pairs = materialise(direct.unionByName(starred).distinct(), "near-pairs")
-    nodes = pairs.select(F.col("a").alias("_node")).unionByName(pairs.select(F.col("b").alias("_node"))).distinct()
-    sets = materialise(map_blocks(docs.join(nodes, "_node", "left_semi").select("_node", "_text"), whole, "node bigint, s array<bigint>", "_text"), "near-sets")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = materialise(map_blocks(texts(nodes), whole, "node bigint, s array<bigint>", "_text").dropDuplicates(["node"]), "near-sets")
     a, b = sets.select(F.col("node").alias("a"), F.col("s").alias("x")), sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     return pairs.join(a, "a").join(b, "b").where(shared / (F.size("x") + F.size("y") - shared) >= p.similarity).select("a", "b").distinct()
 
 
-def drop_near_copies(docs: DataFrame, p: NearCopyParams = NearCopyParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without those whose component of near copies has a smaller id."""
-    keyed = docs.withColumns(dict(zip(("_node", "_other"), row_keys(docs, id_column, text).values(), strict=True)))
-    joined = components(links(keyed.select("_node", text_column(keyed, text).cast("binary").alias("_text")), p), "near")
-    member = F.struct(F.col(f"`{id_column}`").isNull().alias("unnamed"), F.col(f"`{id_column}`").alias("id"), F.col("_node"), F.col("_other"))
-    members = materialise(keyed.select("_node", member.alias("m")).join(joined.withColumnRenamed("node", "_node"), "_node").select("root", "m"), "near-members")
-    best = members.groupBy("root").agg(F.min("m").alias("kept"))
-    lost = members.join(best, "root").where("m <> kept").select("m._node", "m._other").distinct()
-    return keyed.join(lost, ["_node", "_other"], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+def features(docs: DataFrame, p: NearCopyParams = NearCopyParams(), simhash: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, fp, h1, h2, keys: of each row its fingerprint, two hashes of id and text, and keys of bands; one pass over the texts."""
+
+    def block(c: dict) -> dict:
+        sets = shingles(c["_text"], p.words)
+        full = np.array([len(s) > 0 for s in sets], dtype=bool)
+        keys = band_keys([s for s in sets if len(s)], p).view(np.int64) if full.any() else np.zeros(0, np.int64)
+        offsets = pa.array(np.concatenate(([0], np.cumsum(full * p.bands))).astype(np.int32))
+        values = np.array([fingerprint(t, simhash.words) for t in c["_text"]], dtype=np.uint64)
+        return {"id": c["id"], "fp": pa.array(values.view(np.int64)), "h1": c["h1"], "h2": c["h2"], "keys": pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))}
+
+    h1, h2 = row_keys(docs, id_column, text)
+    rows = docs.select(docs[id_column].alias("id"), h1.alias("h1"), h2.alias("h2"), text_column(docs, text).cast("binary").alias("_text"))
+    return map_blocks(rows, block, f"id {dict(docs.dtypes)[id_column]}, fp bigint, h1 bigint, h2 bigint, keys array<bigint>", "_text")
+
+
+def keep_distinct(docs: DataFrame, p: NearCopyParams = NearCopyParams(), simhash: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near duplicates, with the columns of ``docs``.
+
+    Groups are the components of SimHash links; the rows that those leave (of the smallest id) are linked by similarity,
+    and again the row of the smallest id stays.
+    """
+    rows = materialise(features(docs, p, simhash, id_column, text), "near-features")
+    first = materialise(first_rows(rows.select("id", "fp", "h1", "h2"), simhash), "near-first")
+
+    def texts(nodes: DataFrame) -> DataFrame:
+        h1, h2 = row_keys(docs, id_column, text)
+        wanted = write_set(first.join(nodes.withColumnRenamed("node", "h1"), "h1", "left_semi").select("h1", "h2"))
+        return docs.where(in_set(wanted, h1, h2)).select(h1.alias("_node"), text_column(docs, text).cast("binary").alias("_text"))
+
+    filed = rows.select("h1", "h2", "keys").join(first.select("h1", "h2"), ["h1", "h2"], "left_semi").select(F.col("h1").alias("node"), "keys")
+    joined = materialise(components(links(filed, texts, p), "near"), "near-joined")
+    members = first.join(joined.withColumnRenamed("node", "h1"), "h1").select("root", F.struct("unnamed", "id", "h1", "h2").alias("m"))
+    best = members.groupBy("root").agg(F.min("m").alias("kept")).select("kept.h1", "kept.h2")
+    alone = first.join(joined.select(F.col("node").alias("h1")), "h1", "left_anti").select("h1", "h2")
+    return only(docs, rows.select("h1", "h2"), alone.unionByName(best), id_column, text)

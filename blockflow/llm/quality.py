@@ -27,7 +27,7 @@ from math import exp, lgamma, log, log1p
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.llm.common import SPACE, sql_words, text_column
+from blockflow.llm.common import SPACE, fresh, own, sql_words, text_column
 from blockflow.runtime import materialise
 
 SYMBOLS = "[#*$%&|<>]"
@@ -70,8 +70,8 @@ def ratio(name: str, c: Column) -> Column:
 
 def with_counts(docs: DataFrame, text: str = "text", to: str = "_counts") -> DataFrame:
     """All columns and a struct of counts of the whole text: n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    t, w, ln, h, v = (f"{to}_{x}" for x in ("text", "words", "lines", "hashes", "windows"))
+    kept = own(docs)
+    t, w, ln, h, v = fresh(docs, *(f"{to}_{x}" for x in ("text", "words", "lines", "hashes", "windows")))
     step = docs.select(*kept, text_column(docs, text).alias(t))
     step = step.select(
         *kept, t, sql_words(F.col(t)).alias(w),
@@ -160,34 +160,37 @@ def choose(table: dict[tuple[str, str, int, bool], int], p: QualityParams) -> li
     return out
 
 
-def judge(counts: DataFrame, rules: list[tuple], p: QualityParams = QualityParams()) -> DataFrame:
-    """All columns of ``counts`` and base_failed, kept, rejected_by (the learned rules that reject, in order)."""
+def judge(counts: DataFrame, rules: list[tuple], p: QualityParams = QualityParams(), at: tuple[str, str] = ("_stratum", "_counts"), to: str = "_verdict") -> DataFrame:
+    """All columns of ``counts`` and in ``to`` a struct of base_failed, kept, rejected_by (the learned rules that reject, in order)."""
     by: dict[str, dict[str, float]] = {}
     for stratum, rule, cutoff, *_ in rules:
         by.setdefault(stratum, {})[rule] = cutoff
-    wide = counts.sparkSession.createDataFrame([(s, *(c.get(r) for r in GRIDS)) for s, c in by.items()], ", ".join(["_rule_stratum string", *(f"_cut_{r} double" for r in GRIDS)]))
+    stratum, c = F.col(at[0]), F.col(at[1])
+    name = fresh(counts, "_cuts")[0]
+    wide = counts.sparkSession.createDataFrame([(s, tuple(x.get(r) for r in GRIDS)) for s, x in by.items()], f"{name}_of string, {name} struct<{', '.join(f'{r}: double' for r in GRIDS)}>")
     if len(by) <= MOST_BROADCAST:  # its size is known here
         wide = F.broadcast(wide)
-    judged = counts.join(wide, F.col("_stratum") == F.col("_rule_stratum"), "left")
-    hit = F.filter(F.array(*(F.when(ratio(r, F.col("_counts")) > F.col(f"_cut_{r}"), F.lit(r)) for r in GRIDS)), lambda x: x.isNotNull())
-    failed = base_failed(F.col("_counts"), p)
-    return judged.select(*(F.col(f"`{c}`") for c in counts.columns), failed.alias("base_failed"), (~failed & (F.size(hit) == 0)).alias("kept"), hit.alias("rejected_by"))
+    judged = counts.join(wide, stratum == F.col(f"{name}_of"), "left")
+    hit = F.filter(F.array(*(F.when(ratio(r, c) > F.col(name)[r], F.lit(r)) for r in GRIDS)), lambda x: x.isNotNull())
+    failed = base_failed(c, p)
+    return judged.select(*own(counts), F.struct(failed.alias("base_failed"), (~failed & (F.size(hit) == 0)).alias("kept"), hit.alias("rejected_by")).alias(to))
 
 
-def _with_stratum(docs: DataFrame, p: QualityParams) -> DataFrame:
-    return docs.withColumn("_stratum", F.coalesce(F.col(p.stratum).cast("string"), F.lit("")))
+def _stratum(p: QualityParams) -> Column:
+    return F.coalesce(F.col(p.stratum).cast("string"), F.lit(""))
 
 
 def quality_digest(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, rejected_by."""
-    few = _with_stratum(docs.select("doc_id", "text", p.stratum), p).drop(p.stratum)
+    few = docs.select("doc_id", "text", _stratum(p).alias("_stratum"))
     counts = materialise(with_counts(few).drop("text"), "quality")
     out = judge(counts, calibrate(counts, labels, p), p)
-    return out.select("doc_id", *(f"_counts.{n}" for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "base_failed", "kept", "rejected_by")
+    return out.select("doc_id", *(f"_counts.{n}" for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), "_verdict.*")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams(), id_column: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are kept, with its columns. Rows and counts are written once, so no text is shuffled."""
-    rows = materialise(_with_stratum(with_counts(docs), p), "quality-rows")
-    rules = calibrate(rows.select("doc_id", "_stratum", "_counts"), labels, p)
-    return judge(rows, rules, p).where("kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    at, to = tuple(fresh(docs, "_stratum", "_counts")), fresh(docs, "_verdict")[0]
+    rows = materialise(with_counts(docs, to=at[1]).withColumn(at[0], _stratum(p)), "quality-rows")
+    rules = calibrate(rows.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(at[0]).alias("_stratum"), F.col(at[1]).alias("_counts")), labels, p)
+    return judge(rows, rules, p, at, to).where(F.col(to)["kept"]).select(*own(docs))

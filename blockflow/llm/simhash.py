@@ -32,7 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.llm.common import map_blocks, text_column
+from blockflow.llm.arraystore import in_set, write_set
+from blockflow.llm.common import fresh, map_blocks, own, text_column
 from blockflow.runtime import materialise, remove, ship
 
 BITS = 64
@@ -279,9 +280,9 @@ def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()).groupBy("node").agg(F.min("root").alias("root"))
 
 
-def row_keys(docs: DataFrame, id_column: str, text: str) -> dict[str, Column]:
+def row_keys(docs: DataFrame, id_column: str, text: str) -> list[Column]:
     """Two hashes of a row's id and text."""
-    return {f"_h{k}": F.xxhash64(F.lit(k), docs[id_column].isNull(), docs[id_column], text_column(docs, text)) for k in (1, 2)}
+    return [F.xxhash64(F.lit(k), docs[id_column].isNull(), docs[id_column], text_column(docs, text)) for k in (1, 2)]
 
 
 def _grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
@@ -307,14 +308,34 @@ def simhash_digest(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataF
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: of its smallest id, and of that id's texts the one with the smallest hash.
+def first_rows(rows: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
+    """unnamed, id, h1, h2: of each component of ``rows`` (id, fp, h1, h2) the row that stays.
+
+    That is the one of its smallest id, and of that id's texts the one with the smallest hash. A null id comes after all
+    others, so such a row stays only if its component has no named one.
+    """
+    member = F.struct(F.col("id").isNull().alias("unnamed"), "id", "h1", "h2")
+    return _grouped(rows, p).groupBy("root").agg(F.min(member).alias("x")).select("x.*")
+
 
-    A null id comes after all others, so such a row stays only if its component has no named one.
+def only(docs: DataFrame, rows: DataFrame, kept: DataFrame, id_column: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose keys (h1, h2) are in ``kept``, repeated ones once. ``rows``: the keys of all rows.
+
+    Keys are looked up in mapped arrays, so that no text is shuffled, but those of repeated rows.
     """
-    keys = row_keys(docs, id_column, text)
-    rows = materialise(fingerprints(docs, p, id_column, text, keys), "fingerprints")
-    first = _grouped(rows, p).groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_h1", "_h2")).alias("x"))
-    # equal keys on both sides and in the deduplication: the texts are shuffled once
-    kept = docs.withColumns(keys).join(first.select("x._h1", "x._h2"), ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"])
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    h = row_keys(docs, id_column, text)
+    times = materialise(rows.join(kept.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")), "kept")
+    out = docs.where(in_set(write_set(times.where("n = 1").select("h1", "h2")), *h))
+    many = times.where("n > 1").select("h1", "h2")
+    if many.isEmpty():
+        return out
+    names = fresh(docs, "_h1", "_h2")
+    repeated = docs.withColumns(dict(zip(names, h, strict=True))).where(in_set(write_set(many), *(F.col(n) for n in names)))
+    return out.unionByName(repeated.dropDuplicates(names).select(*own(docs)))
+
+
+def keep_one(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with the columns of ``docs``: see ``first_rows``."""
+    h = dict(zip(("h1", "h2"), row_keys(docs, id_column, text), strict=True))
+    rows = materialise(fingerprints(docs, p, id_column, text, h), "fingerprints")
+    return only(docs, rows, first_rows(rows, p), id_column, text)

@@ -1,7 +1,10 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from blockflow.llm import nearcopies as N
+from blockflow.llm.simhash import row_keys
 
 
 def shingle_set(text, n=5):
@@ -30,11 +33,9 @@ def test_edited_copies_do_not_survive_the_pipeline_s_stages(spark):
     assert left == {100 * k for k in range(20)}
 
 
-def test_links_against_brute_force(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    sets = {i: shingle_set(t) for i, t in texts.items()}
-    by = {}
+def similar_pairs(texts):
+    """Pairs of keys whose texts have a Jaccard similarity of 0.8 or more, by shared shingles."""
+    sets, by = {i: shingle_set(t) for i, t in texts.items()}, {}
     for i, s in sets.items():
         for x in s:
             by.setdefault(x, set()).add(i)
@@ -46,18 +47,53 @@ def test_links_against_brute_force(spark):
                 if j > i:
                     shared[j] = shared.get(j, 0) + 1
         want |= {(i, j) for j, n in shared.items() if n / (len(s) + len(sets[j]) - n) >= 0.8}
-    rows = spark.createDataFrame([(i, bytearray((t or "").encode())) for i, t in texts.items()], "_node long, _text binary")
-    assert {(r.a, r.b) for r in N.links(rows).collect()} == want and len(want) > 50
+    return want
+
+
+def test_links_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = N.features(docs).select("id", F.col("h1").alias("node"), "keys").cache()
+    of = {r.node: r.id for r in rows.collect()}
+    keyed = docs.select(row_keys(docs, "doc_id", "text")[0].alias("_node"), F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
+    got = N.links(rows.select("node", "keys"), lambda nodes: keyed.join(nodes.withColumnRenamed("node", "_node"), "_node", "left_semi"))
+    want = similar_pairs(texts)
+    assert {tuple(sorted((of[r.a], of[r.b]))) for r in got.collect()} == want and len(want) > 50
 
 
 def test_crowded_keys_and_edges(spark):
     rng = random.Random(2)
     base = " ".join(f"x{i}" for i in range(400))
     rows = [(k, edited(rng, base, 2)) for k in range(150)] + [(None, edited(rng, base, 2)), (900, "a b"), (901, "A  B"), (902, "a b c"), (903, None), (904, "")]
-    docs = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, a string")
-    kept = N.drop_near_copies(docs, N.NearCopyParams(bucket=10))
+    docs = spark.createDataFrame([(i, t, "z", 1) for i, t in rows], "doc_id long, text string, _h1 string, keys int")
+    kept = N.keep_distinct(docs, N.NearCopyParams(bucket=10))
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [0, 900, 902, 903, 904]
-    assert N.drop_near_copies(docs.limit(0)).count() == 0
-    only = spark.createDataFrame([(None, "a b"), (None, "A b"), (None, "c d")], "doc_id long, text string")
-    assert sorted(r.text.lower() for r in N.drop_near_copies(only).collect()) == ["a b", "c d"]
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 900, 902, 903]
+    assert N.keep_distinct(docs.limit(0)).count() == 0
+    only = spark.createDataFrame([(None, "a b"), (None, "A b"), (None, "c d"), (None, "c d"), (5, "e f"), (5, "e f"), (5, "g " * 200_000)], "doc_id long, text string")
+    assert sorted(r.text[:5].lower() for r in N.keep_distinct(only).collect()) == ["a b", "c d", "e f", "g g g"]
+
+
+def test_whole_groups_against_brute_force(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(2000)]
+    base = [" ".join(rng.choices(words, k=120)) for _ in range(25)]
+    rows = list(enumerate(base + [edited(rng, t, k) for t in base for k in (1, 3, 9)] + base[:5]))
+    rng.shuffle(rows)
+    kept = {r.doc_id for r in N.keep_distinct(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    left = {}  # exact copies first
+    for i in sorted(texts):
+        left.setdefault(texts[i], i)
+    texts = {i: t for t, i in left.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in similar_pairs(texts):
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    assert kept == {find(i) for i in texts}

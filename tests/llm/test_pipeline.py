@@ -4,11 +4,13 @@ from collections import defaultdict
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from blockflow.llm.secrets import RULES, scan_block
 from blockflow.llm.simhash import fingerprint
+from tests.llm.test_nearcopies import similar_pairs
 
 
 @pytest.fixture(scope="module")
@@ -42,23 +44,55 @@ def test_quality_keeps_the_good(stages, spark):
     assert len(good & set(after)) >= 0.98 * len(good & set(before))
 
 
-def test_one_of_each_group_stays(stages):
-    before, after = (rows(d) for d in stages["near_duplicates"])
-    fp = {i: fingerprint(r.text.encode()) for i, r in before.items()}
-    root = {i: i for i in fp}
+def groups(ids, linked):
+    """The smallest id of each component of the ids."""
+    root = {i: i for i in ids}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
+    for i, j in linked:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return {find(i) for i in ids}
+
+
+def test_one_of_each_group_stays(stages):
+    """Fingerprints first, then five-word similarity among what stays."""
+    before, after = (rows(d) for d in stages["near_duplicates"])
+    fp = {i: fingerprint(r.text.encode()) for i, r in before.items()}
     ids = sorted(fp)
-    for k, i in enumerate(ids):
-        for j in ids[:k]:
-            if (fp[i] ^ fp[j]).bit_count() <= 2:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    assert set(after) == {find(i) for i in ids}
+    left = groups(ids, ((i, j) for k, i in enumerate(ids) for j in ids[:k] if (fp[i] ^ fp[j]).bit_count() <= 2))
+    similar = similar_pairs({i: before[i].text for i in left})
+    assert similar
+    assert set(after) == groups(left, similar)
+
+
+NAMES = ["kept", "base_failed", "rejected_by", "_counts", "_stratum", "_lang_pred", "_h1", "_keep", "id", "fp", "keys", "KEPT_"]
+
+
+def test_clashing_columns_null_ids_and_repeated_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    more = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).unionByName(docs.limit(2))
+    wide = docs.unionByName(more).select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in NAMES))
+    for name, stage in C.STAGES[:-1]:
+        after = stage(spark, wide, "/root/testdata/sf0.001")
+        assert after.columns == wide.columns, name
+        assert {c: t for c, t in after.dtypes} == {c: t for c, t in wide.dtypes}
+        got = after.collect()
+        assert 0 < len(got) <= wide.count()
+        assert all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in got for n in NAMES)
+    assert C.STAGES[-1][1](spark, wide, "/root/testdata/sf0.001").count() >= wide.count()
+
+
+def test_empty_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in C.STAGES:
+        after = stage(spark, docs, "/root/testdata/sf0.001")
+        assert after.count() == 0
+    assert len(C.STAGES) in (4, 5)
 
 
 def test_no_secret_is_left(stages):
