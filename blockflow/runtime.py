@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -70,6 +71,12 @@ def materialise(df: DataFrame, label: str, folders: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Free the files of shuffles that nothing refers to any more: Spark does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder, whatever file system holds it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
