@@ -12,15 +12,22 @@ from pyspark.sql import functions as F
 SEGMENT = 1000
 
 
-def with_previous(df: DataFrame, columns: list[str], order: str = "round", segment: int = SEGMENT, prefix: str = "prev_") -> DataFrame:
-    """Adds ``prev_<column>``: the values of the row before in the order of an integer column (ties: by ``columns``)."""
+def with_previous(df: DataFrame, columns: list[str], order: str = "round", segment: int = SEGMENT, prefix: str = "prev_", depth: int = 1) -> DataFrame:
+    """Adds ``prev_<column>``: the values of the row before in the order of an integer column (ties: by ``columns``).
+
+    The frame with one row a segment is treated in the same way, ``depth`` times: one task sees a row of ``segment ** 2``.
+    """
     names = df.columns
     keyed = df.withColumn("_segment", F.floor(F.col(order) / segment))
     w = Window.partitionBy("_segment").orderBy(order, *[c for c in columns if c != order])
     row = F.struct(*columns)
     inside = keyed.withColumn("_lag", F.lag(row).over(w))
     tails = keyed.groupBy("_segment").agg(F.max(F.struct(order, *[c for c in columns if c != order])).alias("_t")).select("_segment", F.struct(*(F.col(f"_t.{c}").alias(c) for c in columns)).alias("_tail"))
-    heads = tails.withColumn("_edge", F.lag("_tail").over(Window.orderBy("_segment"))).select("_segment", "_edge")
+    if depth:
+        above = with_previous(tails.select(F.col("_segment").alias("_order"), "_tail"), ["_tail"], "_order", segment, "_before", depth - 1)
+        heads = above.select(F.col("_order").alias("_segment"), F.col("_before_tail").alias("_edge"))
+    else:
+        heads = tails.withColumn("_edge", F.lag("_tail").over(Window.orderBy("_segment"))).select("_segment", "_edge")
     both = inside.join(heads, "_segment").withColumn("_lag", F.coalesce("_lag", "_edge"))
     return both.select(*names, *(F.col(f"_lag.{c}").alias(f"{prefix}{c}") for c in columns))
 
@@ -49,6 +56,28 @@ def contiguous_prefix(pending: DataFrame, cursor: int, segment: int = SEGMENT) -
     return ahead.crossJoin(F.broadcast(broken)).where(F.col("_stop").isNull() | (F.col("round") < F.col("_stop"))).drop("_stop")  # one row
 
 
+def buffer_depth(pending: DataFrame, cursor: int) -> DataFrame:
+    """One row: depth (rounds that wait after the cursor) and ready (those of them that can be released)."""
+    ahead = pending.where(F.col("round") > cursor).select("round").distinct()
+    ready = contiguous_prefix(ahead, cursor).agg(F.count(F.lit(1)).alias("ready"))
+    return ahead.agg(F.count(F.lit(1)).alias("depth")).crossJoin(ready)  # one row each
+
+
+def segment_lookup(asked: DataFrame, starts: DataFrame, size: int) -> DataFrame:
+    """round, segment_start: for each asked round the largest start (a multiple of ``size``) that isn't above it, else null.
+
+    Equal-key joins only: each start also stands for the places of the starts missing up to the next one.
+    """
+    place = F.floor(F.col("round") / size) * size
+    known = starts.select("segment_start").distinct()
+    seen = with_previous(known, ["segment_start"], "segment_start", SEGMENT * size)
+    between = seen.where("prev_segment_start is not null").select(F.col("prev_segment_start").alias("s"), F.explode(F.sequence(F.col("prev_segment_start"), F.col("segment_start") - size, F.lit(size).cast("bigint"))).alias("p"))
+    last = known.agg(F.max("segment_start").alias("s")).where("s is not null")
+    of = between.unionByName(last.withColumn("p", F.col("s")))
+    placed = asked.select("round", place.alias("p")).crossJoin(F.broadcast(last.withColumnRenamed("s", "top")))  # one row
+    return placed.withColumn("p", F.least("p", "top")).join(of, "p", "left").select("round", F.col("s").alias("segment_start"))
+
+
 def commit_batches(ready: DataFrame, cursor: int, size: int) -> DataFrame:
     """batch, first_round, last_round, blocks: the catch-up batches that released rounds fall into."""
     numbered = ready.withColumn("batch", F.floor((F.col("round") - (cursor + 1)) / size))
@@ -110,17 +139,32 @@ def differences(a: DataFrame, b: DataFrame, columns: tuple[tuple[str, str], ...]
     return both.select("round", reason.alias("reason")).where("reason is not null")
 
 
-def compare(a: DataFrame, b: DataFrame, start: int, end: int, **more) -> DataFrame:
-    """One row: start, end, blocks (in both), ok, has_diff, first_diff, diff_reason."""
+def compare(a: DataFrame, b: DataFrame, start: int, end: int, columns: tuple[tuple[str, str], ...] = (("block_hash", "block hash mismatch"), ("previous_block_hash", "previous hash mismatch"))) -> DataFrame:
+    """One row: start, end, blocks (compared), ok, has_diff, first_diff, diff_reason.
+
+    Both are walked in step from ``start``; the first place where they aren't the same block of the expected round ends it.
+    If one side has no more blocks there, the other "has extra blocks"; without a difference all rounds have to be there.
+    """
     inside = F.col("round").between(start, end)
     a, b = a.where(inside), b.where(inside)
-    diff = differences(a, b, **more).agg(F.min(F.struct("round", "reason")).alias("d"))
-    both = a.select("round").join(b.select("round"), "round").agg(F.count(F.lit(1)).alias("blocks"))
-    full = F.col("blocks") == end - start + 1
-    reason = F.coalesce("d.reason", F.when(~full, F.concat(F.lit("block count "), F.col("blocks").cast("string"), F.lit(f" want {end - start + 1}"))))
-    return both.crossJoin(diff).select(
-        F.lit(start).cast("bigint").alias("start"), F.lit(end).cast("bigint").alias("end"), "blocks", (F.col("d").isNull() & full).alias("ok"),
-        F.col("d").isNotNull().alias("has_diff"), F.col("d.round").alias("first_diff"), reason.alias("diff_reason"),
+    same = a.alias("a").join(b.alias("b"), "round").where(" and ".join(f"a.{c} <=> b.{c}" for c, _ in columns)).select("round")
+    stop = contiguous_prefix(same, start - 1).agg(F.coalesce(F.max("round") + 1, F.lit(start)).cast("bigint").alias("w"))
+    at = lambda side, name: side.join(F.broadcast(stop), F.col("round") >= F.col("w")).agg(F.min(F.struct("round", *(c for c, _ in columns))).alias(name))
+    one = stop.crossJoin(at(a, "a")).crossJoin(at(b, "b"))  # one row each
+    w = F.col("w")
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    text = lambda c: F.col(c).cast("string")
+    reason = F.when(both & ((F.col("a.round") != w) | (F.col("b.round") != w)), F.concat(F.lit("round mismatch A="), text("a.round"), F.lit(" B="), text("b.round"), F.lit(" want="), text("w")))
+    for c, what in columns:
+        reason = reason.when(both & ~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), what)
+    reason = reason.when(F.col("b").isNotNull(), "B has extra blocks").when(F.col("a").isNotNull(), "A has extra blocks")
+    compared = w - start + F.when(both, 1).otherwise(0)
+    first = F.when(both, w).when(F.col("b").isNotNull(), F.col("b.round"))
+    full = compared == end - start + 1
+    short = F.when(~full, F.concat(F.lit("block count "), compared.cast("string"), F.lit(f" want {end - start + 1}")))
+    return one.select(
+        F.lit(start).cast("bigint").alias("start"), F.lit(end).cast("bigint").alias("end"), compared.cast("bigint").alias("blocks"), (reason.isNull() & full).alias("ok"),
+        reason.isNotNull().alias("has_diff"), first.alias("first_diff"), F.coalesce(reason, short).alias("diff_reason"),
     )
 
 

@@ -112,9 +112,9 @@ def busy_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 SELECT CASE WHEN length(block_hash) <= 15 THEN block_hash ELSE left(block_hash, 8) || '…' || right(block_hash, 6) END AS label, round
-FROM v_blocks WHERE round < 50""")
+FROM v_blocks""")
 def block_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.blocks(spark, sf_dir, previous=False, counts=False).where("round < 50").select(X.short(F.col("block_hash")).alias("label"), "round")
+    return V.blocks(spark, sf_dir, previous=False, counts=False).select(X.short(F.col("block_hash")).alias("label"), "round")
 
 
 # ---- order, gaps, linkage ----------------------------------------------------------------------------------------
@@ -133,10 +133,20 @@ def gap_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT round, latency FROM v_arrivals WHERE round > 99 AND round % 811 <> 5
+SELECT round, latency FROM v_arrivals WHERE round > 99 AND round <> (SELECT max(round) - 50 FROM v_arrivals)
 QUALIFY round - row_number() OVER (ORDER BY round) = 99""")
 def contiguous_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.contiguous_prefix(V.arrivals(spark, sf_dir).where("round % 811 <> 5").select("round", "latency"), 99)
+    """The gap is near the end of the table, so nearly all of it is released."""
+    a = V.arrivals(spark, sf_dir).select("round", "latency")
+    return I.contiguous_prefix(a.where(F.col("round") != a.agg(F.max("round")).first()[0] - 50), 99)
+
+
+@_query("""
+SELECT count(*) AS depth, count(*) FILTER (round < (SELECT max(round) - 50 FROM v_arrivals)) AS ready
+FROM v_arrivals WHERE round > 99 AND round <> (SELECT max(round) - 50 FROM v_arrivals)""")
+def buffer_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = V.arrivals(spark, sf_dir).select("round")
+    return I.buffer_depth(a.where(F.col("round") != a.agg(F.max("round")).first()[0] - 50), 99)
 
 
 @_query("""
@@ -175,7 +185,7 @@ def I_copy(spark: SparkSession, sf_dir: str, counts: bool = False) -> DataFrame:
     return V.archive_copy(V.blocks(spark, sf_dir, counts=counts))
 
 
-_SEEN = """SELECT *, lag(round) OVER (ORDER BY round) AS pr, lag(block_hash) OVER (ORDER BY round) AS ph FROM v_copy WHERE round <= 14000"""
+_SEEN = """SELECT *, lag(round) OVER (ORDER BY round) AS pr, lag(block_hash) OVER (ORDER BY round) AS ph FROM v_copy"""
 
 
 @_query(f"""
@@ -183,10 +193,12 @@ SELECT count(*) AS blocks, count(DISTINCT round // 1000) AS segments, min(round)
        CAST(coalesce(sum(CASE WHEN round <> pr + 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS gaps,
        CAST(coalesce(sum(CASE WHEN ph <> '' AND previous_block_hash <> ph THEN 1 ELSE 0 END), 0) AS BIGINT) AS hash_errors,
        CAST(coalesce(sum(CASE WHEN block_hash = 'corrupt' THEN 1 ELSE 0 END), 0) AS BIGINT) AS corrupt_records,
-       coalesce(sum(CASE WHEN round <> pr + 1 OR (ph <> '' AND previous_block_hash <> ph) OR block_hash = 'corrupt' THEN 1 ELSE 0 END), 0) = 0 AND max(round) = 14000 AS ok
+       coalesce(sum(CASE WHEN round <> pr + 1 OR (ph <> '' AND previous_block_hash <> ph) OR block_hash = 'corrupt' THEN 1 ELSE 0 END), 0) = 0 AND max(round) = (SELECT max(round) FROM v_copy) AS ok
 FROM ({_SEEN})""")
 def archive_verify_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.verify_summary(I_copy(spark, sf_dir).withColumn("corrupt", F.col("block_hash") == "corrupt"), 14000)
+    """Up to the copy's last round, which is its checkpoint."""
+    c = I_copy(spark, sf_dir).withColumn("corrupt", F.col("block_hash") == "corrupt")
+    return I.verify_summary(c, c.agg(F.max("round")).first()[0])
 
 
 _DIFF = """
@@ -201,11 +213,17 @@ def archive_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.differences(b, V.archive_copy(b))
 
 
-@_query(f"""
-SELECT CAST(20 AS BIGINT) AS start, CAST(1400 AS BIGINT) AS "end", n AS blocks, d.round IS NULL AND n = 1381 AS ok, d.round IS NOT NULL AS has_diff, d.round AS first_diff,
-       coalesce(d.reason, CASE WHEN n <> 1381 THEN 'block count ' || CAST(n AS VARCHAR) || ' want 1381' END) AS diff_reason
-FROM (SELECT count(*) AS n FROM v_blocks a JOIN v_copy b USING (round) WHERE round BETWEEN 20 AND 1400)
-LEFT JOIN (SELECT * FROM ({_DIFF.format(20, 1400)}) WHERE reason IS NOT NULL ORDER BY round LIMIT 1) d ON true""")
+@_query("""
+SELECT CAST(20 AS BIGINT) AS start, CAST(1400 AS BIGINT) AS "end",
+       CASE WHEN reason IS NULL THEN 1381 ELSE w - 20 + CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN 1 ELSE 0 END END AS blocks,
+       reason IS NULL AS ok, reason IS NOT NULL AS has_diff, CASE WHEN b IS NULL THEN NULL WHEN a IS NULL THEN b ELSE w END AS first_diff, reason AS diff_reason
+FROM (SELECT *, CASE WHEN w > 1400 THEN NULL WHEN a IS NULL AND b IS NULL THEN 'block count ' || CAST(w - 20 AS VARCHAR) || ' want 1381'
+    WHEN b IS NULL THEN 'A has extra blocks' WHEN a IS NULL THEN 'B has extra blocks'
+    WHEN a <> w OR b <> w THEN 'round mismatch A=' || CAST(a AS VARCHAR) || ' B=' || CAST(b AS VARCHAR) || ' want=' || CAST(w AS VARCHAR)
+    WHEN (SELECT x.block_hash <> y.block_hash FROM v_blocks x JOIN v_copy y USING (round) WHERE round = w) THEN 'block hash mismatch' ELSE 'previous hash mismatch' END AS reason
+  FROM (SELECT w, (SELECT min(round) FROM v_blocks WHERE round BETWEEN w AND 1400) AS a, (SELECT min(round) FROM v_copy WHERE round BETWEEN w AND 1400) AS b
+    FROM (SELECT min(r.n) AS w FROM (SELECT unnest(range(20, 1402)) AS n) r
+      LEFT JOIN (SELECT round FROM v_blocks a JOIN v_copy b USING (round) WHERE round <= 1400 AND a.block_hash = b.block_hash AND a.previous_block_hash = b.previous_block_hash) e ON e.round = r.n WHERE e.round IS NULL)))""")
 def archive_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = V.blocks(spark, sf_dir, counts=False)
     return I.compare(b, V.archive_copy(b), 20, 1400)
@@ -266,11 +284,11 @@ def app_id_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.backfill_app_ids(V.transactions(spark, sf_dir), F.col("round") % 50).select("round", "txid", "type", "app_id")
 
 
-@_query("SELECT round, block_hash, timestamp FROM v_blocks WHERE round < 200")
+@_query("SELECT round, block_hash, timestamp FROM v_blocks")
 def unnest_parallel_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parallel arrays of a batch (of at most 200 rounds) back into rows."""
-    b = V.blocks(spark, sf_dir, False, False).where("round < 200")
-    arrays = b.groupBy((F.col("round") % 4).alias("g")).agg(*(F.collect_list(c).alias(c) for c in ("round", "block_hash", "timestamp")))
+    b = V.blocks(spark, sf_dir, False, False)
+    arrays = b.groupBy(F.floor(F.col("round") / 200).alias("g")).agg(*(F.collect_list(c).alias(c) for c in ("round", "block_hash", "timestamp")))
     return arrays.select(F.inline(F.arrays_zip("round", "block_hash", "timestamp")))
 
 
@@ -287,15 +305,12 @@ def segment_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT r.round, max(s.start) AS segment_start FROM (SELECT round FROM v_arrivals WHERE round % 333 = 1) r
-JOIN (SELECT DISTINCT round // 700 * 700 AS start FROM v_blocks) s ON s.start <= r.round GROUP BY 1""")
+SELECT r.round, CAST(s.start AS BIGINT) AS segment_start FROM v_arrivals r
+ASOF LEFT JOIN (SELECT DISTINCT round // 700 * 700 AS start FROM v_blocks WHERE round // 700 % 3 <> 1) s ON s.start <= r.round""")
 def segment_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The segment that holds a round: the one with the largest start up to it."""
-    from blockflow.sources.segments import segment_for
-
-    starts = sorted(r[0] for r in V.blocks(spark, sf_dir, False, False).select((F.floor(F.col("round") / 700) * 700).alias("s")).distinct().collect())
-    asked = V.arrivals(spark, sf_dir).where("round % 333 = 1").select("round")
-    return asked.select("round", segment_for(F.col("round"), starts).alias("segment_start"))
+    """The segment that holds a round: the one with the largest start up to it; every third segment is missing."""
+    starts = V.blocks(spark, sf_dir, False, False).select((F.floor(F.col("round") / 700) * 700).alias("segment_start")).distinct()
+    return I.segment_lookup(V.arrivals(spark, sf_dir).select("round"), starts.where(F.floor(F.col("segment_start") / 700) % 3 != 1), 700)
 
 
 @_query(f"SELECT {BLOCKS} FROM v_blocks WHERE round BETWEEN 100 AND 420")
@@ -310,11 +325,17 @@ def prune_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b if start is None else b.where(F.col("round") >= start)
 
 
-@_query("SELECT CAST(floor((round - 300) / 100) AS BIGINT) AS batch, count(*) AS blocks, min(round) AS first_round, max(round) AS last_round FROM v_blocks WHERE round BETWEEN 300 AND 1234 GROUP BY 1")
+@_query("SELECT CAST(round // 250 * 250 AS BIGINT) AS segment_start, round, block_hash, previous_block_hash FROM v_blocks WHERE round >= 300")
 def export_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batches of 100 in which a range is copied to another archive."""
-    b = V.blocks(spark, sf_dir, False, False).where(F.col("round").between(300, 1234))
-    return I.commit_batches(b, 299, 100)
+    """An archive of all blocks, exported from round 300 on to one of smaller segments, which is read."""
+    from blockflow.runtime import shared_path
+    from blockflow.sources import segments
+
+    b = V.blocks(spark, sf_dir, counts=False).withColumn("raw", F.concat(F.lit("raw-"), F.col("round").cast("string")).cast("binary"))
+    source, target = shared_path(spark, "archive"), shared_path(spark, "export")
+    segments.write_archive(b, source)
+    segments.export_archive(spark, source, target, 300, segments.read_checkpoint(source), 250)
+    return segments.read_archive(spark, target, raw=False).select("segment_start", "round", "block_hash", "previous_block_hash")
 
 
 @_query("""
@@ -336,9 +357,9 @@ def handoff_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("""
 SELECT round, CASE WHEN round <= 900 AND round IN (SELECT round FROM v_copy) THEN 'ok' WHEN round > 900 THEN 'not_yet_available' ELSE 'not_found' END AS status
-FROM v_arrivals WHERE round < 1100""")
+FROM v_arrivals""")
 def availability_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = V.arrivals(spark, sf_dir).where("round < 1100").select("round")
+    asked = V.arrivals(spark, sf_dir).select("round")
     return I.availability(asked, V.blocks(spark, sf_dir, False, False).where("round % 983 <> 11"), 900)
 
 
@@ -373,13 +394,13 @@ def labelled_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STATES = """
 SELECT round, round % 17 = 0 AS failed, CASE WHEN round % 13 = 0 THEN 'sink down' END AS sink_error, round % 5 <> 0 AS has_checkpoint, round % 3 AS next_commit,
-       round // 2 AS checkpoint, round // 2 + round % 7 - 2 AS tip FROM v_arrivals WHERE round < 2000"""
+       round // 2 AS checkpoint, round // 2 + round % 7 - 2 AS tip FROM v_arrivals"""
 _CURSOR = "CASE WHEN has_checkpoint THEN checkpoint WHEN next_commit > 0 THEN next_commit - 1 ELSE checkpoint END"
 
 
 def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = F.col("round")
-    return V.arrivals(spark, sf_dir).where("round < 2000").select(
+    return V.arrivals(spark, sf_dir).select(
         "round", (r % 17 == 0).alias("failed"), F.when(r % 13 == 0, "sink down").alias("sink_error"), (r % 5 != 0).alias("has_checkpoint"), (r % 3).alias("next_commit"),
         F.floor(r / 2).alias("checkpoint"), (F.floor(r / 2) + r % 7 - 2).alias("tip"),
     )
@@ -418,17 +439,19 @@ def resume_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- rows only: streams, files and payloads -------------------------------------------------------------------------------
 
 
-@_query(f"SELECT CAST('all' AS VARCHAR) AS chain, round, CAST(round AS VARCHAR) AS block_hash FROM v_arrivals WHERE round < 2222")
+@_query("SELECT CAST('all' AS VARCHAR) AS chain, round, CAST(round AS VARCHAR) AS block_hash FROM v_arrivals WHERE round < (SELECT max(round) - 50 FROM v_arrivals)")
 def ordered_stream_release(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrivals in any order, without round 2222, through the ordered buffer as a stream: what is released."""
+    """All arrivals, out of order and without one near the end, through the ordered buffer as a stream: what is released."""
     from blockflow.runtime import shared_path
     from blockflow.streaming.follow import release_in_order
 
-    a = V.arrivals(spark, sf_dir).where("round <> 2222 and round < 5000")
+    a = V.arrivals(spark, sf_dir)
+    a = a.where(F.col("round") != a.agg(F.max("round")).first()[0] - 50)
     text = F.col("round").cast("string")
     rows = a.select(F.lit("all").alias("chain"), "round", text.alias("block_hash"), F.when(F.col("round") > 0, (F.col("round") - 1).cast("string")).otherwise("").alias("previous_block_hash"))
     folder = shared_path(spark, "stream")
-    rows.repartition(5, F.xxhash64("round")).write.parquet(f"{folder}/in")
+    late = F.col("round") + F.pmod(F.xxhash64("round"), F.lit(500))  # up to 500 rounds late, and shuffled within a file
+    rows.repartitionByRange(5, late).sortWithinPartitions(F.xxhash64("round")).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
     q = release_in_order(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -447,16 +470,15 @@ def segment_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.read_archive(spark, root, 450, 1400, raw=False).select("segment_start", "round", "block_hash", "previous_block_hash")
 
 
-@_query("SELECT CAST(count(*) FILTER (round < 200) AS BIGINT) AS decodable, CAST(count(*) FILTER (round BETWEEN 200 AND 249) AS BIGINT) AS unreadable, CAST(199 AS BIGINT) AS linked FROM v_arrivals")
+@_query("SELECT round, timestamp, CAST(txn_count % 5 AS INTEGER) AS txn_count, true AS decodable, true AS same_payload FROM v_blocks")
 def decode_raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads of a generated chain (the tables have none) decoded in tasks, and the links between the hashes."""
-    from blockflow.functions.chain import decode_blocks, make_chain
-
-    chain = [(b["round"], bytearray(b["raw"])) for b in make_chain(0, 200, 1)] + [(r, bytearray(f"raw-{r}".encode())) for r in range(200, 250)]
-    d = decode_blocks(spark.createDataFrame(chain, "round bigint, raw binary"), "raw", ("round",)).select("round", "decoded.decodable", "decoded.block_hash", "decoded.previous_block_hash")
-    linked = d.alias("a").join(d.alias("b"), F.expr("b.round = a.round + 1 and b.previous_block_hash = a.block_hash")).agg(F.count(F.lit(1)).alias("linked"))
-    n = d.agg(F.sum(F.col("decodable").cast("int")).alias("decodable"), F.sum((~F.col("decodable")).cast("int")).alias("unreadable"))
-    return n.crossJoin(linked).select("decodable", "unreadable", "linked")
+    """Each block's figures written as a payload, decoded again, and compared with the payload's own figures."""
+    from blockflow.functions.chain import decode_blocks, encode_blocks
+
+    b = V.blocks(spark, sf_dir).withColumn("txn_count", F.col("txn_count") % 5)
+    d = decode_blocks(encode_blocks(b), "raw", ("round", "block_hash"))
+    x = F.col("decoded")
+    return d.select("round", x.timestamp.alias("timestamp"), x.txn_count.alias("txn_count"), x.decodable.alias("decodable"), ((x.round == F.col("round")) & (x.block_hash == F.col("block_hash")) & (F.size(x.transactions) == x.txn_count)).alias("same_payload"))
 
 
 def queries() -> dict[str, Query]:

@@ -398,7 +398,7 @@ def write_archive(blocks: DataFrame, root: str, size: int = SEGMENT_SIZE, fail_a
 
 
 def recover(root: str) -> None:
-    """For the writer: drop files of failed writes, and what lies behind the checkpoint in the last segments."""
+    """For the writer: drop files of failed writes, and what lies behind the checkpoint: whole segments, and the end of the one that holds it."""
     own = local(root) or root
     if not os.path.isdir(f"{own}/segments"):
         return
@@ -406,7 +406,7 @@ def recover(root: str) -> None:
     for n in os.listdir(f"{own}/segments"):
         if ".seg.new-" in n:
             os.remove(f"{own}/segments/{n}")
-    for start, path in list_segments(own):
+    for start, path in reversed(list_segments(own)):
         if cp is None or start > cp:
             os.remove(path)
             continue
@@ -417,6 +417,7 @@ def recover(root: str) -> None:
             with open(path, "r+b") as f:
                 f.truncate(end)
                 os.fsync(f.fileno())
+        return  # all segments before are whole: a later one was begun, or the checkpoint is in this one
 
 
 # ---- archive operations ------------------------------------------------------------------------------------------------------
@@ -534,16 +535,28 @@ def prune_archive(spark: SparkSession, root: str, keep_from: int, size: int = SE
 
 
 class CursorFile:
-    """A consumer's own cursor: the last round that it has finished. An empty path keeps nothing."""
+    """A consumer's own cursor: the last round that it has finished. An empty path keeps nothing.
+
+    A path that isn't on a mounted file system (hdfs://, s3:// ...) is reached through Arrow's file systems.
+    """
 
     def __init__(self, path: str) -> None:
-        self.path = local(path) if path else ""
+        self.path, self.store = path, None
+        if path and local(path) is None:
+            from pyarrow import fs
+
+            self.store, self.path = fs.FileSystem.from_uri(path)
+        elif path:
+            self.path = local(path)
 
     def load(self) -> int | None:
-        if not self.path or not os.path.exists(self.path):
+        if not self.path:
+            return None
+        try:
+            with self.store.open_input_stream(self.path) if self.store else open(self.path, "rb") as f:
+                text = f.read().decode().strip()
+        except FileNotFoundError:
             return None
-        with open(self.path) as f:
-            text = f.read().strip()
         if text and not text.isdigit():
             raise ArchiveError(f"{self.path} doesn't hold a round")
         return int(text) if text else None
@@ -551,8 +564,14 @@ class CursorFile:
     def save(self, round_: int) -> None:
         if not self.path:
             return
-        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
         new = f"{self.path}.{uuid.uuid4().hex}"
+        if self.store:
+            self.store.create_dir(os.path.dirname(self.path), recursive=True)
+            with self.store.open_output_stream(new) as f:
+                f.write(f"{round_}\n".encode())
+            self.store.move(new, self.path)
+            return
+        os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
         with open(new, "w") as f:
             f.write(f"{round_}\n")
             f.flush()

@@ -66,16 +66,23 @@ class OrderedBuffer(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         next_, last = self.cursor.get() if self.cursor.exists() else (self.first, "")
+        early = {k[0] for k in self.pending.keys()}  # rounds only
+        come: dict[int, tuple[str, str]] = {}
         for df in rows:
             for r in df.sort_values("round", kind="stable").itertuples(index=False):
-                if r.round >= next_ and not self.pending.containsKey((int(r.round),)):  # the first to come stays
-                    self.pending.updateValue((int(r.round),), (r.block_hash or "", r.previous_block_hash or ""))
+                if r.round >= next_ and r.round not in early:  # the first to come stays
+                    come.setdefault(int(r.round), (r.block_hash or "", r.previous_block_hash or ""))
         out = []
-        while self.pending.containsKey((next_,)):
-            h, prev = self.pending.getValue((next_,))
+        while next_ in come or next_ in early:
+            if next_ in come:
+                h, prev = come.pop(next_)
+            else:
+                h, prev = self.pending.getValue((next_,))
+                self.pending.removeKey((next_,))
             out.append((key[0], next_, h, prev, bool(h) and (not last or not prev or prev == last)))
-            self.pending.removeKey((next_,))
             next_, last = next_ + 1, h
+        for round_, block in come.items():  # only what has to wait is kept as state
+            self.pending.updateValue((round_,), block)
         self.cursor.update((next_, last))
         yield pd.DataFrame(out, columns=["chain", "round", "block_hash", "previous_block_hash", "linked"])
 
