@@ -1,15 +1,17 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Fixed base rules reject first. On top of them each rule compares one ratio of a text with a cutoff, chosen for
-each stratum (language) on labelled holdouts:
-
-* cutoffs come from a fixed grid, so the labels are used for nothing else before;
-* a cutoff counts as safe if the exact (Clopper-Pearson) upper bound of the share of good documents that it
-  rejects is at most ``alpha / rules``, at confidence ``1 - delta / (strata * rules)`` (Bonferroni);
-* within a stratum and rule cutoffs are tested from the most lenient to the strictest and the testing stops at
-  the first failure (fixed-sequence testing), so the grid needs no further correction;
-* of the safe cutoffs the one is used that rejects most labelled bad documents, less ``cost`` for each good one; the rule
-  is off where that is nothing.
+Fixed base rules reject first. On top of them rules compare ratios of a text with cutoffs, chosen for each stratum
+(language) on labelled holdouts:
+
+* cutoffs come from fixed grids, so the labels are used for nothing else before;
+* a family of cutoffs is one rule's grid, or a ladder of ``STEPS`` steps on which all rules get stricter together and a text
+  counts as rejected if any rule rejects it;
+* a cutoff counts as safe if the exact (Clopper-Pearson) upper bound of the share of good documents that it rejects is at
+  most ``alpha``, at confidence ``1 - delta / (strata * families)`` (Bonferroni);
+* within a stratum and family cutoffs are tested from the most lenient to the strictest and the testing stops at the first
+  failure (fixed-sequence testing), so the grid needs no further correction;
+* of all safe cutoffs of a stratum the one is used that rejects most labelled bad documents, less ``cost`` for each good
+  one; there is none where that is nothing. One family acts in a stratum, so ``alpha`` isn't divided.
 
 So with probability 1 - delta every stratum loses at most ``alpha`` of its good documents. A stratum with too few
 labels to prove that, or with none, gets no rule beyond the base.
@@ -32,6 +34,9 @@ from blockflow.runtime import materialise
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
+#: Steps of the ladder on which all rules get stricter together.
+STEPS = 20
+ALL = "all"
 #: Up to so many strata (a row of six values each) the rules are broadcast.
 MOST_BROADCAST = 10_000
 
@@ -135,28 +140,40 @@ def calibrate(counts: DataFrame, labels: DataFrame, p: QualityParams = QualityPa
     """
     given = labels.where("quality is not null").groupBy(F.col(id_column).alias("_label_id")).agg(F.min("quality").alias("q"), F.max("quality").alias("q2")).where("q = q2")
     holdout = counts.join(given, counts[id_column] == given._label_id).where(~base_failed(F.col("_counts"), p))
-    cell = lambda name: F.size(F.filter(F.array(*map(F.lit, GRIDS[name])), lambda g: g < ratio(name, F.col("_counts"))))
-    cells = holdout.select("_stratum", (F.col("q") == 1).alias("good"), F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), cell(r).alias("cell")) for r in GRIDS))).alias("c"))
+    below = lambda value: lambda x: x < value
+    cell = {r: F.size(F.filter(F.array(*map(F.lit, g)), below(ratio(r, F.col("_counts"))))) for r, g in GRIDS.items()}
+    # on the ladder: the step at which the first rule rejects, counted from the strictest
+    step = F.greatest(*(F.when(c > 0, STEPS - F.floor((len(GRIDS[r]) - c) * STEPS / len(GRIDS[r]))).otherwise(0).cast("int") for r, c in cell.items()))
+    cells = holdout.select("_stratum", (F.col("q") == 1).alias("good"), F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), c.alias("cell")) for r, c in (cell | {ALL: step}).items()))).alias("c"))
     table = cells.groupBy("_stratum", "good", "c.rule", "c.cell").agg(F.count(F.lit(1)).alias("n")).collect()
     return choose({(r["_stratum"], r["rule"], r["cell"], r["good"]): r["n"] for r in table}, p)
 
 
+def ladder(rule: str, step: int) -> float:
+    """The rule's cutoff at a step from 1 (lenient) to STEPS."""
+    grid = GRIDS[rule]
+    return grid[len(grid) - -(-step * len(grid) // STEPS)]
+
+
 def choose(table: dict[tuple[str, str, int, bool], int], p: QualityParams) -> list[tuple]:
-    """The rules that are on, from the counts of (stratum, rule, grid cell, good)."""
+    """The rules that are on, from the counts of (stratum, family, cell, good)."""
     strata = sorted({k[0] for k in table})
+    sizes = {r: len(g) for r, g in GRIDS.items()} | {ALL: STEPS}
     out = []
     for s in strata:
-        for r, grid in GRIDS.items():
-            count = lambda good, above: sum(table.get((s, r, c, good), 0) for c in range(above, len(grid) + 1))  # noqa: E731, B023
-            n, best = count(True, 0), None
-            for j in range(len(grid) - 1, -1, -1):  # the cutoff grid[j] rejects the cells above j
-                if not is_safe(count(True, j + 1), n, p.alpha / len(GRIDS), p.delta / (len(strata) * len(GRIDS))):
+        best = None
+        for r, size in sizes.items():
+            count = lambda good, above: sum(table.get((s, r, c, good), 0) for c in range(above, size + 1))  # noqa: E731, B023
+            n = count(True, 0)
+            for j in range(size - 1, -1, -1):  # the cutoff j rejects the cells above j
+                if not is_safe(count(True, j + 1), n, p.alpha, p.delta / (len(strata) * len(sizes))):
                     break
                 gain = count(False, j + 1) - p.cost * count(True, j + 1)
                 if gain > (best[0] if best else 0):
-                    best = (gain, (s, r, grid[j], n, count(True, j + 1), count(False, j + 1)))
-            if best:
-                out.append(best[1])
+                    best = (gain, r, j, n, count(True, j + 1), count(False, j + 1))
+        if best:
+            _, r, j, *seen = best
+            out += [(s, x, ladder(x, STEPS - j) if r == ALL else GRIDS[x][j], *seen) for x in (GRIDS if r == ALL else (r,))]
     return out
 
 

@@ -42,7 +42,33 @@ def test_choice_stops_at_the_first_unsafe_cutoff():
     table = {("en", "symbols_per_char", 0, True): 9000, ("en", "symbols_per_char", 20, True): 900, ("en", "symbols_per_char", 30, False): 50, ("en", "symbols_per_char", 10, False): 50}
     (row,) = Q.choose(table, p)
     assert row[:3] == ("en", "symbols_per_char", grid[29]) and row[4:] == (0, 50)
-    assert Q.choose({("en", "symbols_per_char", 0, True): 100, ("en", "symbols_per_char", 30, False): 50}, p) == []
+    assert Q.choose({("en", "symbols_per_char", 0, True): 90, ("en", "symbols_per_char", 30, False): 50}, p) == []
+
+
+def test_ladder_of_all_rules():
+    table = {("en", Q.ALL, 0, True): 900, ("en", Q.ALL, 12, True): 1, ("en", Q.ALL, 5, True): 99, ("en", Q.ALL, 14, False): 30, ("en", "long_words", 0, True): 1000, ("en", "long_words", 3, False): 20}
+    rows = Q.choose(table, Q.QualityParams())
+    assert [r[1] for r in rows] == list(Q.GRIDS) and all(r[3:] == (1000, 0, 30) for r in rows)
+    # the most lenient of the best cutoffs: step 7 of the ladder rejects from cell 14 on
+    assert all(r[2] == Q.ladder(r[1], 7) for r in rows)
+    assert all(Q.ladder(r, Q.STEPS) == g[0] and Q.ladder(r, 1) == g[-1 - (len(g) - 1) // Q.STEPS] for r, g in Q.GRIDS.items())
+
+
+def test_false_rejections_are_limited(spark):
+    """Rejections on fresh documents of the same kind stay below alpha in nearly all draws."""
+    rng, p, failed, acted = random.Random(5), Q.QualityParams(), 0, 0
+    grid = Q.GRIDS["symbols_per_char"]
+    for _ in range(200):
+        draw = lambda good, n: [min(len(grid), int(rng.expovariate(0.25 if good else 0.05))) for _ in range(n)]
+        table = {}
+        for good, n in ((True, 300), (False, 60)):
+            for c in draw(good, n):
+                table["en", "symbols_per_char", c, good] = table.get(("en", "symbols_per_char", c, good), 0) + 1
+        for _, _, cutoff, *_ in Q.choose(table, Q.QualityParams(cost=0.5)):
+            j = grid.index(cutoff)
+            acted += 1
+            failed += sum(c > j for c in draw(True, 4000)) / 4000 > p.alpha
+    assert acted > 100 and failed <= 0.1 * acted
 
 
 def test_rules_apply_by_stratum(spark):
