@@ -88,12 +88,36 @@ def test_alignment_against_brute_force(spark):
     want = {k: min(v) for k, v in want.items()}
     good = sum(k in got for k in want)
     assert good >= 0.9 * len(want) and len(want) >= 24
+    assert (5000, 5001) in want and (5000, 5001) in got  # sustained silence of two lengths
     for k, r in got.items():
-        assert k in want and abs(r.bit_error - want[k][0]) < 0.05
+        assert k in want and abs(r.bit_error - want[k][0]) < 1e-9
     for k in range(12):
         assert got[100 * k, 100 * k + 1].offset == 20
 
 
+def test_recall_at_larger_errors(spark):
+    rng = np.random.default_rng(7)
+    rows, error = [], {}
+    for k in range(20):
+        x = song(200 + k)
+        rows.append((100 * k, x))
+        for j, sd in enumerate((6000, 8000, 10000, 12000)):
+            y = (x + rng.normal(0, sd, len(x))).clip(-32000, 32000).astype(np.int16)
+            rows.append((100 * k + 1 + j, y))
+            error[100 * k, 100 * k + 1 + j] = bits(M.fingerprint(M.wav(x, 4000)), M.fingerprint(M.wav(y, 4000)))
+    sound = (12000 * np.sin(np.arange(40000) * 2 * np.pi * 440 / 4000)).astype(np.int16)
+    rows += [(9000, sound), (9001, sound[:24000])]  # one tone of two lengths
+    # a very long recording that holds a short one
+    rows += [(9100, song(500)), (9101, np.concatenate([np.concatenate([song(501 + i) for i in range(10)]), song(500), np.concatenate([song(520 + i) for i in range(10)])]))]
+    df = spark.createDataFrame([(i, bytearray(M.wav(x, 4000))) for i, x in rows], "vec_id long, media binary")
+    table, _ = M.classes(M.fingerprints(df, "vec_id", "media", P))
+    queries = table.where("class_id % 100 = 0")
+    got = {(r.class_id, r.match_id): r for r in M.align(table, queries, P).join(table.select("h", "class_id"), "h").collect()}
+    wanted = [k for k, e in error.items() if 0.1 <= e <= P.error]
+    assert len(wanted) >= 20 and sum(k in got for k in wanted) >= 0.9 * len(wanted)
+    assert (9000, 9001) in got and got[9100, 9101].bit_error < 0.05
+
+
 def test_whole_operator(spark):
     rng = np.random.default_rng(6)
     v = [[float(x) for x in rng.normal(0, 0.4, 64)] for _ in range(5)]
