@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from blockflow.llm import urls as U
@@ -63,3 +65,44 @@ def test_python_free(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://a.com/de/1")], "page_id long, url string")
     plan = U.url_digest(pages)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_clashing_columns_are_carried_through(spark):
+    names = ["_url", "_host", "_row", "_in", "_margin", "_score", "first_part_blocked", "first_part_y", "_h", "kept"]
+    pages = spark.createDataFrame([(i, f"http://h{i}.com/{'fr' if i % 2 else 'de'}/{i}") for i in range(60)] + [(None, None)], "page_id long, url string")
+    wide = pages.select("*", *(F.concat(F.lit(n), F.col("page_id").cast("string")).alias(n) for n in names))
+    got = U.judge_urls(wide).collect()
+    assert len(got) == 61 and all(r[n] == (None if r.page_id is None else f"{n}{r.page_id}") for r in got for n in names)
+    plain = {r.page_id: (r.verdict, r.score) for r in U.url_digest(pages).collect()}
+    assert all(plain[r.page_id] == (r._u.verdict, r._u.score) for r in got)
+    with pytest.raises(ValueError):
+        U.judge_urls(pages.withColumn("_U", F.lit(1)))
+
+
+def test_shares_leave_out_the_own_fold(spark):
+    """A suffix that is seen once says nothing about its own URL."""
+    pages = spark.createDataFrame([(i, f"http://x{i}.h{i}.com/{'fr' if i % 3 else 'de'}/{i}") for i in range(90)], "page_id long, url string")
+    p = U.UrlParams()
+    f = U.with_features(pages).drop("page_id", "url")
+    shares, total = U.suffix_shares(f, p)
+    rows = U.with_shares(f, shares, total, p, without_own_fold=True).select("last_two_labels_blocked", "first_part_blocked", "_u.verdict").collect()
+    assert all(abs(r[0] - total) < 1e-9 for r in rows)
+    assert min(r[1] for r in rows if r.verdict == "block") > max(r[1] for r in rows if r.verdict == "allow")
+
+
+def test_verdict_against_brute_force_trees(spark):
+    """The expressions of trees and calibration give what walking the trees in Python gives."""
+    rng = random.Random(4)
+    rows = [f"https://h{rng.randint(0, 9)}.{rng.choice(['com', 'net', 'example.org', 'io'])}/{rng.choice(['fr', 'de', 'en'])}/{rng.randint(0, 99)}{rng.choice(['', '?a=1&b=2', '#x', '.html'])}" for _ in range(600)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    p = U.UrlParams()
+    f = U.with_features(pages).drop("url")
+    shares, total = U.suffix_shares(f, p)
+    model = U.fit(f, shares, total, p)
+    full = U.with_shares(f, shares, total, p)
+    x = full.select("page_id", *(c.cast("double").alias(f"f{i}") for i, c in enumerate(U._columns()))).collect()
+    margin = model["trees"].margin(np.array([list(r)[1:] for r in x]))
+    want = dict(zip((r.page_id for r in x), np.interp(margin, model["xs"], model["ps"]), strict=True))
+    got = {r.page_id: r.score for r in U.url_digest(pages).collect()}
+    assert len({round(v, 6) for v in want.values()}) > 1
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
