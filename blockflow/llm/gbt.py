@@ -97,7 +97,7 @@ def boost(x: np.ndarray, y: np.ndarray, p: BoostParams = BoostParams()) -> Trees
                     gain = gl**2 / (hl + p.ridge) + (gs - gl) ** 2 / (hs - hl + p.ridge) - gs**2 / (hs + p.ridge)
                     gain[(hl < p.least_weight) | (hs - hl < p.least_weight)] = -1
                     c = int(gain.argmax())
-                    if gain[c] > best[0]:
+                    if gain[c] > best[0] * (1 + 1e-9):  # of equal gains, up to rounding, the first feature's
                         best = (float(gain[c]), f, c)
             if best[1] < 0:
                 value = float(-gs / (hs + p.ridge) * p.rate)

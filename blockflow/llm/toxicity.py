@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.llm.common import map_blocks, text_column
+from blockflow.llm.common import fresh, map_blocks, text_column
 from blockflow.llm.gbt import BoostParams, Trees, boost, calibrated, isotonic, out_of_fold
 from blockflow.runtime import materialise
 
@@ -131,13 +131,21 @@ class Features:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, learn: Column, p: ToxicityParams, id_column: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """_text, y (0 or 1), half (0 or 1) of the sample, written to the shared folder."""
+    """_text, y (0 or 1), half (0 or 1), fold (0 to 2) of the sample, written to the shared folder."""
     given = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(id_column).agg(F.min(label).alias("y"), F.max(label).alias("z")).where("y = z")
-    few = given.where(learn).select(F.col(id_column).alias("_id"), "y", F.xxhash64(id_column).alias("h")).orderBy("h", "_id").limit(p.sample)
-    half = F.when(F.pmod(F.col("h"), F.lit(2)) == 0, 0).otherwise(1)
+    given = given.where(learn).select(F.col(id_column).alias("_id"), "y", F.xxhash64(id_column).alias("h"))
+    # a bound on the hash that about twice the wanted rows pass: few are left to be ranked
+    bound = min(1.0, (2.0 * p.sample + 100) / max(given.count(), 1))
+    few = given.where(F.pmod("h", F.lit(1 << 30)) < bound * (1 << 30)).orderBy("h", "_id").limit(p.sample)
     rows = docs.select(F.col(id_column).alias("_key"), text_column(docs, text).alias("_text"))
-    # the sample is at most ``sample`` rows of three numbers
-    return materialise(rows.join(F.broadcast(few), F.col("_key") == F.col("_id")).select("_text", "y", half.alias("half")), "toxic-sample")
+    # the sample is at most ``sample`` rows of three numbers; of the rows that share an id one counts, by its text's hash
+    joined = rows.join(F.broadcast(few), F.col("_key") == F.col("_id")).groupBy("_id").agg(F.min(F.struct(F.xxhash64("_text").alias("k"), "_text", "y")).alias("x"))
+    k = F.col("x.k")  # equal texts are in one half and one fold
+    by_text, by_id = F.pmod(k, F.lit(2)).cast("int"), F.pmod(F.xxhash64("_id"), F.lit(2)).cast("int")
+    written = materialise(joined.select("x._text", "x.y", by_text.alias("by_text"), by_id.alias("by_id"), F.pmod(F.shiftright(k, 1), F.lit(3)).cast("int").alias("fold")), "toxic-sample")
+    # with so few different texts that a half lacks a label, rows are dealt instead
+    half = "by_text" if len(written.select("by_text", "y").distinct().collect()) == 4 else "by_id"
+    return written.select("_text", "y", F.col(half).alias("half"), "fold")
 
 
 def learn_lexicons(sample: DataFrame, p: ToxicityParams) -> list[dict[str, float]]:
@@ -173,15 +181,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, p: ToxicityParams =
     crossed = by_half[1], by_half[0]
 
     def block(c: dict, state) -> dict:
-        return {"y": c["y"], "half": c["half"], "x": [state[h].text(t) for t, h in zip(c["_text"], c["half"], strict=True)]}
+        return {"y": c["y"], "fold": c["fold"], "x": [state[h].text(t) for t, h in zip(c["_text"], c["half"], strict=True)]}
 
-    rows = map_blocks(sample, block, "y int, half int, x array<double>", "_text", setup=lambda: [Features(lex) for lex in crossed])
-    got = sorted((tuple(r["x"]), r["y"], r["half"]) for r in rows.collect())  # at most ``sample`` rows, if ids are unique
+    rows = map_blocks(sample, block, "y int, fold int, x array<double>", "_text", setup=lambda: [Features(lex) for lex in crossed])
+    got = sorted((tuple(r["x"]), r["y"], r["fold"]) for r in rows.collect())  # at most ``sample`` rows of numbers
     x = np.array([g[0] for g in got]).reshape(len(got), len(FEATURES))
     y = np.array([g[1] for g in got], dtype=float)
     if not len(got) or y.min() == y.max():
         return {"lexicon": by_half[2], "trees": asdict(Trees()), "xs": [0.0], "ps": [float(y.mean()) if len(y) else 0.0]}
-    fold = np.arange(len(got)) % 3
+    fold = np.array([g[2] for g in got])
+    if any(len(set(y[fold != k])) < 2 for k in range(3)):  # too few different texts to be dealt
+        fold = np.arange(len(got)) % 3
     xs, ps = isotonic(out_of_fold(x, y, fold, p.boost), y)
     return {"lexicon": by_half[2], "trees": asdict(boost(x, y, p.boost)), "xs": xs, "ps": ps}
 
@@ -205,14 +215,16 @@ def score_texts(texts: list[str | None], model: dict) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: dict, p: ToxicityParams = ToxicityParams(), text: str = "text", to: tuple[str, str] = ("score", "predicted")) -> DataFrame:
-    """All columns, the score and whether it is at least ``cut`` (1 or 0)."""
+    """All columns, the score and whether it is at least ``cut`` (1 or 0), in the columns ``to``, which ``docs`` may not have."""
+    if fresh(docs, *to) != list(to):
+        raise ValueError(f"the columns {', '.join(to)} are taken; name others in 'to'")
     names = docs.columns
 
     def block(c: dict) -> dict:
         s = score_texts(c[text], model)
         return {n: c[n] for n in names} | {to[0]: s.tolist(), to[1]: (s >= p.cut).astype(int).tolist()}
 
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in to]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     return map_blocks(docs, block, ", ".join([*kept, f"{to[0]} double, {to[1]} int"]), text)
 
 

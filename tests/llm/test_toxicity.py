@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from blockflow.llm import gbt as G
@@ -71,3 +72,16 @@ def test_edge_cases(spark):
     none = T.toxicity_digest(docs, labels.limit(0), F.lit(True)).collect()
     assert {r.score for r in none} == {0.0}
     assert T.toxicity_digest(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_sample_is_bounded_and_copies_stay_together(spark):
+    rows = [(i % 30, f"text {i % 45} you") for i in range(300)] + [(100 + i, f"other {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 30)) for i in {r[0] for r in rows}], "doc_id long, quality int, toxic int")
+    few = T.labelled(docs, labels, F.lit(True), T.ToxicityParams(sample=20)).collect()
+    assert 0 < len(few) <= 20
+    every = T.labelled(docs, labels, F.lit(True), T.ToxicityParams()).collect()
+    assert len(every) == 230
+    assert all(len({(r.half, r.fold) for r in every if r._text == t}) == 1 for t in {r._text for r in every})
+    with pytest.raises(ValueError):
+        T.score(docs.withColumn("score", F.lit(1)), {})
