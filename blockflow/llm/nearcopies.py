@@ -95,7 +95,9 @@ def links(filed: DataFrame, texts: Callable[[DataFrame], DataFrame], p: NearCopy
     starred = met.where((F.col("n") > p.bucket) & (F.col("node") != F.col("one"))).select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b"))
     pairs = materialise(direct.unionByName(starred).distinct(), "near-pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = materialise(map_blocks(texts(nodes), whole, "node bigint, s array<bigint>", "_text").dropDuplicates(["node"]), "near-sets")
+    # written first: a task that filters by a Python function and maps by another would hold two workers
+    wanted = materialise(texts(nodes), "near-texts")
+    sets = materialise(map_blocks(wanted, whole, "node bigint, s array<bigint>", "_text").dropDuplicates(["node"]), "near-sets")
     a, b = sets.select(F.col("node").alias("a"), F.col("s").alias("x")), sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     return pairs.join(a, "a").join(b, "b").where(shared / (F.size("x") + F.size("y") - shared) >= p.similarity).select("a", "b").distinct()

@@ -2,12 +2,18 @@
 
 A token is a 48-bit hash of its lower-cased bytes; an n-gram's key chains 64-bit hashes of its tokens. Counting:
 
-1. Each task counts the n-grams of the highest order in its part of the corpus and sends them, by key, to shards.
+1. Each task counts the n-grams of the highest order in its part of the corpus and sends them, by key, to shards, in
+   compressed blobs: a frequent word (of a bounded sample, which decides nothing else) is written as a short code.
 2. A shard sums its n-grams, writes keys and counts as one sorted array file in the shared folder, and sends on, for
    the order below, what each shorter n-gram gets: distinct predecessors (as a suffix), and total and numbers of
    followers by count (as a context). So on down to single tokens. A very common word is spread over all shards,
    since shards go by the whole n-gram, and its partial sums are added per task first.
-3. Discounts come from the counts of counts of each order, summed over all shards.
+3. With more than ``fan`` shards blobs go to groups of shards first and are dealt anew there, so that their number
+   doesn't grow with the square of the corpus.
+4. Discounts come from the counts of counts of each order, summed over all shards.
+
+An array file holds its keys sorted, 32 bits of each under an index of buckets by the bits above (with the shard's own
+bits some 50 in all), and one byte for the counts of a row, rare ones apart.
 
 Scoring looks up a block of texts at once: its n-grams are sorted and searched shard by shard in the mapped arrays.
 Nothing of the model is broadcast or sent to the driver but a dozen totals for each order; a worker pages in what it
@@ -22,8 +28,10 @@ as often as they occur; with nothing to learn from every token is the unknown on
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockflow.llm.arraystore import discounts, find, mix, open_arrays, write_arrays
-from blockflow.llm.common import map_blocks, text_column
-from blockflow.runtime import materialise, remove, shared_path, ship
+from blockflow.llm.common import fresh, map_blocks, text_column
+from blockflow.runtime import materialise, release, remove, shared_path, ship
 
 LOW48 = (1 << 48) - 1
 #: These contain white space, so no token has them.
@@ -42,16 +50,24 @@ END = xxhash.xxh64_intdigest(b" end") & LOW48
 
 
 #: A shard is summed in one task's memory, so there are more of them for more text.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
 #: Texts are scored in blocks of so many bytes: about 30 numbers are held for each token.
 SCORED_BYTES = 2 << 20
+#: Most words that get a code. A token is its hash, or CODED and the number of its code.
+CODES = (1 << 20) - 1
+CODED = np.uint64(1 << 48)
+#: The code of counts that have none of their own.
+OTHER = 255
 
 
 @dataclass(frozen=True)
 class NgramParams:
     order: int = 3  #: longest n-gram
-    tokens: int = 1_000_000  #: a task counts so many tokens before it sends what it has
+    tokens: int = 600_000  #: a task counts so many tokens before it sends what it has
     shards: int | None = None  #: array files of an order; None: one for SHARD_BYTES of text, and as many as shuffle partitions at least
+    fan: int = 1024  #: most shards, or groups of them, that a task deals its n-grams to
+    sample: int = 6000  #: about so many texts say which words get a code
+    rounds: int = 4  #: the orders below the highest are shuffled in so many parts, one after another, which bounds the disk in use
 
 
 class Hashes(dict):
@@ -100,11 +116,41 @@ def chain(columns: list[np.ndarray]) -> np.ndarray:
     return key
 
 
+class Codes:
+    """The hashes of the words that get a code, the most frequent one first: small numbers compress well."""
+
+    def __init__(self, ranked: np.ndarray) -> None:
+        self.ranked, self._order, self._sorted = ranked, None, None
+
+    def __reduce__(self):
+        return Codes, (self.ranked,)
+
+    def coded(self, tokens: np.ndarray) -> np.ndarray:
+        if self._sorted is None:
+            self._order = np.argsort(self.ranked).astype(np.uint64)
+            self._sorted = self.ranked[self._order.astype(np.int64)]
+        at, ok = find(self._sorted, tokens)
+        return np.where(ok, self._order[at] | CODED, tokens) if len(self._order) else tokens
+
+    def plain(self, tokens: np.ndarray) -> np.ndarray:
+        known = np.flatnonzero(tokens >= CODED)
+        out = tokens.copy()
+        out[known] = self.ranked[(tokens[known] ^ CODED).astype(np.int64)]
+        return out
+
+    def keys(self, columns: list[np.ndarray]) -> np.ndarray:
+        """As ``chain``, of coded tokens."""
+        key = np.zeros(len(columns[0]), dtype=np.uint64)
+        for c in columns:
+            key = mix(key, self.plain(c))
+        return key
+
+
 def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
-    return ((key >> np.uint64(48)) * np.uint64(shards)) >> np.uint64(16)
+    return ((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
-# ---- blobs: rows in byte planes, which the shuffle's compression makes short -------------------------------
+# ---- blobs: rows in byte planes, compressed ----------------------------------------------------------------
 
 
 def _planes(a: np.ndarray, width: int) -> bytes:
@@ -112,33 +158,38 @@ def _planes(a: np.ndarray, width: int) -> bytes:
 
 
 def _unplanes(data: np.ndarray, width: int) -> np.ndarray:
-    n = len(data) // width
-    out = np.zeros((n, 8), dtype=np.uint8)
+    n, wide = len(data) // width, 4 if width <= 4 else 8
+    out = np.zeros((n, wide), dtype=np.uint8)
     out[:, :width] = data.reshape(width, n).T
-    return out.reshape(-1).view("<u8").astype(np.uint64, copy=False)
+    return out.reshape(-1).view(f"<u{wide}")
 
 
 def _pack(tokens: list[np.ndarray], values: list[np.ndarray]) -> bytes:
-    """Rows sorted by their first token, which is written once for its run of rows."""
-    new = np.flatnonzero(np.concatenate(([True], tokens[0][1:] != tokens[0][:-1])))
-    runs = np.diff(np.append(new, len(tokens[0])))
+    """Rows of coded tokens and values: planes of the codes (0: none), the hashes of tokens without one, planes of the values."""
     wide = [max(1, (int(v.max()).bit_length() + 7) // 8) for v in values]
-    head = np.array([len(new), len(tokens[0]), *wide], dtype="<u4").tobytes()
-    return b"".join([head, _planes(tokens[0][new], 6), _planes(runs, 4), *(_planes(t, 6) for t in tokens[1:]), *(_planes(v, w) for v, w in zip(values, wide, strict=True))])
+    rest = [t[t < CODED] for t in tokens]
+    planes = [_planes(np.where(t < CODED, 0, t - CODED + np.uint64(1)), 3) for t in tokens]
+    data = b"".join([*planes, *(_planes(r, 6) for r in rest), *(_planes(v, w) for v, w in zip(values, wide, strict=True))])
+    head = np.array([len(tokens[0]), len(data), *(len(r) for r in rest), *wide], dtype="<u4").tobytes()
+    return head + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _unpack(blob: bytes, tokens: int, values: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    head = np.frombuffer(blob, "<u4", 2 + values)
-    new, rows, wide = int(head[0]), int(head[1]), head[2:].tolist()
-    data, at = np.frombuffer(blob, np.uint8), 4 * (2 + values)
+    head = np.frombuffer(blob, "<u4", 2 + tokens + values).tolist()
+    rows, rest, wide = head[0], head[2 : 2 + tokens], head[2 + tokens :]
+    data, at = np.frombuffer(pa.decompress(memoryview(blob)[4 * len(head) :], head[1], codec="zstd", asbytes=True), np.uint8), 0
 
     def take(n: int, width: int) -> np.ndarray:
         nonlocal at
         at += n * width
         return _unplanes(data[at - n * width : at], width)
 
-    first, runs = take(new, 6), take(new, 4)
-    return [np.repeat(first, runs.astype(np.int64)), *(take(rows, 6) for _ in range(tokens - 1))], [take(rows, w) for w in wide]
+    out = []
+    for code in [take(rows, 3) for _ in range(tokens)]:
+        out.append(code + (CODED - np.uint64(1)))
+    for t, n in zip(out, rest, strict=True):
+        t[t < CODED] = take(n, 6)
+    return out, [take(rows, w) for w in wide]
 
 
 def _group(key: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -146,20 +197,22 @@ def _group(key: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     order = np.argsort(key)
     key = key[order]
     start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[start], order[start], [np.add.reduceat(v[order], start) for v in values]
+    return key[start], order[start], [np.add.reduceat(v[order], start, dtype=np.uint64) for v in values]
 
 
 def _dealt(tokens: list[np.ndarray], values: list[np.ndarray], key: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    """(shard, blob) of rows whose key is ``key``."""
+    """(shard, blob) of rows whose key is ``key``, in the order of their first tokens' codes, which compresses them."""
     shard = shard_of(key, shards)
-    order = np.argsort((shard << np.uint64(48)) | tokens[0])
-    shard = shard[order]
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(shard.astype(np.int64), minlength=shards))))
+    place = shard << np.uint64(40)
+    for t, shift in zip(tokens, (20, 0), strict=False):
+        place |= np.where(t < CODED, 0, t ^ CODED) << np.uint64(shift)
+    order = np.argsort(place)
+    del place, shard
     tokens, values = [t[order] for t in tokens], [v[order] for v in values]
-    cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-    for s in range(shards):
+    for s in np.flatnonzero(np.diff(cuts)).tolist():
         a, b = int(cuts[s]), int(cuts[s + 1])
-        if b > a:
-            yield s, _pack([t[a:b] for t in tokens], [v[a:b] for v in values])
+        yield s, _pack([t[a:b] for t in tokens], [v[a:b] for v in values])
 
 
 # ---- counting --------------------------------------------------------------------------------------------
@@ -167,8 +220,12 @@ def _dealt(tokens: list[np.ndarray], values: list[np.ndarray], key: np.ndarray,
 #: What a lower-order n-gram gathers: as a suffix, its distinct predecessors and (single tokens) its occurrences; as a
 #: context, the total of its followers' counts, and how many of them have count 1, 2, and more.
 FIELDS = ("before", "raw", "total", "n1", "n2", "n3")
-_ROW = "level int, shard int, blob binary, c1 bigint, c2 bigint, c3 bigint, c4 bigint, grams bigint, mass bigint, vocabulary bigint, tokens bigint"
-_ARROW = pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("blob", pa.binary()), *((n, pa.int64()) for n in ("c1", "c2", "c3", "c4", "grams", "mass", "vocabulary", "tokens"))])
+#: The fields that a blob of each kind has; the highest order's has counts.
+KINDS = (("count",), ("before",), ("raw",), FIELDS[2:])
+TOP, SUFFIX, RAW, CONTEXT = range(4)
+_TOTALS = ("c1", "c2", "c3", "c4", "grams", "mass", "vocabulary", "tokens")
+_ROW = f"level int, kind int, shard bigint, blob binary, {', '.join(f'{c} bigint' for c in _TOTALS)}"
+_ARROW = pa.schema([("level", pa.int32()), ("kind", pa.int32()), ("shard", pa.int64()), ("blob", pa.binary()), *((n, pa.int64()) for n in _TOTALS)])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -176,15 +233,33 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
 
 
-def _count(docs: DataFrame, p: NgramParams, shards: int) -> DataFrame:
+def frequent(texts: DataFrame, rows: int, p: NgramParams) -> Codes:
+    """The words that get a code: the most frequent ones of a sample. Only the sizes of blobs depend on them."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for t in batch.column(0):
+                total.update(t.as_py().lower().split())
+                if len(total) > 4 * CODES:
+                    total = Counter(dict(total.most_common(CODES)))
+        h = [xxhash.xxh64_intdigest(w) & LOW48 for w in total]
+        yield pa.RecordBatch.from_pydict({"h": pa.array(h, pa.int64()), "n": pa.array(list(total.values()), pa.int64())})
+
+    few = texts.sample(min(1.0, p.sample / max(rows, 1)), seed=1).mapInArrow(count, "h bigint, n bigint")
+    top = few.groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(CODES - 2).toArrow()  # bounded by the code
+    return Codes(np.concatenate(([START, END], top.column("h").to_numpy())).astype(np.uint64))
+
+
+def _count(docs: DataFrame, p: NgramParams, words: Codes, shards: int) -> DataFrame:
     """Blobs of the highest order from a column ``_text`` of bytes."""
     order, most = p.order, p.tokens
 
     def flush(texts: list[bytes]) -> pa.RecordBatch:
         codes, at, _ = tokens_of(texts, order - 1)
-        columns = [codes[at - k] for k in range(order - 1, -1, -1)]
-        key, first, (n,) = _group(chain(columns), [np.ones(len(at), dtype=np.uint64)])
-        return _rows([(order, s, b) for s, b in _dealt([c[first] for c in columns], [n], key, shards)])
+        key, first, (n,) = _group(chain([codes[at - k] for k in range(order - 1, -1, -1)]), [np.ones(len(at), dtype=np.uint8)])
+        codes, at = words.coded(codes), at[first]
+        return _rows([(order, TOP, s, b) for s, b in _dealt([codes[at - k] for k in range(order - 1, -1, -1)], [n], key, shards)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[bytes] = []
@@ -202,61 +277,154 @@ def _count(docs: DataFrame, p: NgramParams, shards: int) -> DataFrame:
     return docs.select("_text").mapInArrow(run, _ROW)
 
 
-def _merge(rows: DataFrame, level: int, p: NgramParams, shards: int, folder: str) -> DataFrame:
+def _spread(rows: DataFrame, level: int, p: NgramParams, words: Codes, shards: int) -> DataFrame:
+    """Blobs of groups of shards, summed and dealt to the shards."""
+    most = 2 * p.tokens
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        of, size = None, 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            tokens = [np.concatenate([x[0][i] for x in held]) for i in range(level)]
+            sums = [np.concatenate([x[1][i] for x in held]) for i in range(len(held[0][1]))]
+            key, first, sums = _group(words.keys(tokens), sums)
+            # of all shards those of the group have rows
+            yield _rows([(level, of[1], s, b) for s, b in _dealt([t[first] for t in tokens], sums, key, shards)])
+
+        for batch in batches:
+            for shard, kind, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if held and ((shard, kind) != of or size >= most):
+                    yield from flush()
+                    held, size = [], 0
+                of = shard, kind
+                held.append(_unpack(blob.as_py(), level, len(KINDS[kind])))
+                size += len(held[-1][0][0])
+        if held:
+            yield from flush()
+
+    grouped = rows.select("shard", "kind", "blob").repartition("shard").sortWithinPartitions("shard", "kind")
+    return grouped.mapInArrow(run, _ROW)
+
+
+def _merge(rows: DataFrame, level: int, p: NgramParams, words: Codes, shards: int, folder: str) -> DataFrame:
     """Sum the blobs of an order, write its shards; rows: blobs for the orders below, and a row of totals for each shard."""
-    top, values = level == p.order, 1 if level == p.order else len(FIELDS)
-
-    def shard(table: pa.Table) -> pa.Table:
-        number = table.column("shard")[0].as_py()
-        parts = [_unpack(b.as_py(), level, values) for b in table.column("blob")]
-        tokens = [np.concatenate([x[0][i] for x in parts]) for i in range(level)]
-        sums = [np.concatenate([x[1][i] for x in parts]) for i in range(values)]
-        del parts
-        key, first, sums = _group(chain(tokens), sums)
+    top = level == p.order
+    groups = _groups(shards, p)
+
+    def shard(data: pa.Table) -> pa.Table:
+        number = data.column("shard")[0].as_py()
+        fields = ("count",) if top else FIELDS if level == 1 else ("before", *FIELDS[2:])
+        blobs, kinds = data.column("blob"), [KINDS[k] for k in data.column("kind").to_pylist()]
+        sizes = [int.from_bytes(b.as_py()[:4], "little") for b in blobs]
+        tokens = [np.empty(sum(sizes), dtype=np.uint64) for _ in range(level)]
+        values = [np.zeros(sum(sizes), dtype=np.uint64) for _ in fields]
+        at = 0
+        for blob, kind, n in zip(blobs, kinds, sizes, strict=True):
+            for own, got in zip((tokens, [values[fields.index(f)] for f in kind]), _unpack(blob.as_py(), level, len(kind)), strict=True):
+                for x, y in zip(own, got, strict=True):
+                    x[at : at + n] = y
+            at += n
+        key, first, values = _group(words.keys(tokens), values)
         tokens = [t[first] for t in tokens]
-        if top:
-            counts = sums[0]
-            big = np.flatnonzero(counts > 254)
-            small = np.minimum(counts, 255).astype(np.uint8)
-            write_arrays(f"{folder}/{level}-{number}", {"keys": key, "count": small, "big": big, "big_count": counts[big]} | ({"raw": counts} if level == 1 else {}))
-        else:
-            named = dict(zip(FIELDS, sums, strict=True))
-            counts = named["before"]
-            keep = FIELDS if level == 1 else [f for f in FIELDS if f != "raw"]
-            write_arrays(f"{folder}/{level}-{number}", {"keys": key} | {f: _narrow(named[f]) for f in keep})
+        named = dict(zip(fields, values, strict=True))
+        counts = named["count" if top else "before"]
+        if top and level == 1:
+            named["raw"] = counts
+        write_arrays(f"{folder}/{level}-{number}", _layout(key, named))
         seen = counts > 0
         of = [int(np.count_nonzero(counts == c)) for c in (1, 2, 3, 4)]
-        raw = (counts if top else sums[1]) if level == 1 else np.zeros(0, np.uint64)
-        out: list[tuple] = [(level, -1 - number, None, *of, int(np.count_nonzero(seen)), int(counts.sum()), int(np.count_nonzero(raw)), int(raw.sum()))]
+        raw = named.get("raw", counts[:0])
+        out: list[tuple] = [(level, -1, -1 - number, None, *of, int(np.count_nonzero(seen)), int(counts.sum()), int(np.count_nonzero(raw)), int(raw.sum()))]
         if level > 1 and seen.any():
-            out += _below([t[seen] for t in tokens], counts[seen], level, top, shards)
+            out += _below([t[seen] for t in tokens], counts[seen], level, top, groups, words)
         return pa.Table.from_batches([_rows(out)])
 
-    return rows.where(F.col("level") == level).where("shard >= 0").groupBy("shard").applyInArrow(shard, _ROW)
-
+    if groups < shards:
+        rows = _spread(rows, level, p, words, shards)
+    return rows.groupBy("shard").applyInArrow(shard, _ROW)
+
+
+def _groups(shards: int, p: NgramParams) -> int:
+    """What a task deals its n-grams to: the shards, or groups of about ``fan`` shards."""
+    return shards if shards <= p.fan else -(-shards // p.fan)
+
+
+def _layout(key: np.ndarray, fields: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The arrays of a shard: 32 bits of each key, sorted within buckets by the bits above them; a byte for all counts of a
+    row, which names one of the shard's most frequent rows of counts, or OTHER: those are written apart."""
+    bits = max(0, len(key).bit_length() - 4)
+    low = key & np.uint64((1 << (32 + bits)) - 1)
+    order = np.argsort(low)
+    low = low[order]
+    out = {"keys": low.astype(np.uint32), "buckets": np.searchsorted(low >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)}
+    values = {f: v[order] for f, v in fields.items()}
+    # rows of small counts as one number each; the most frequent of those get a code
+    bits = 60 // len(values)
+    row, small = np.zeros(len(key), dtype=np.uint64), np.ones(len(key), dtype=bool)
+    for k, v in enumerate(values.values()):
+        row |= v << np.uint64(k * bits)
+        small &= v < 1 << min(bits, 16)
+    kinds, times = np.unique(row[small], return_counts=True)
+    kinds = np.sort(kinds[np.argsort(-times, kind="stable")[:OTHER]])
+    code, known = find(kinds, row)
+    known &= small
+    rest = np.flatnonzero(~known)
+    out |= {"code": np.where(known, code, OTHER).astype(np.uint8), "rest": rest.astype(np.uint32)}
+    for k, (f, v) in enumerate(values.items()):
+        v = v[rest]
+        out |= {f"{f}_of": ((kinds >> np.uint64(k * bits)) & np.uint64((1 << bits) - 1)).astype(np.uint16), f"{f}_rest": v if len(v) and int(v.max()) >> 32 else v.astype(np.uint32)}
+    return out
+
+
+def _places(arrays: dict[str, np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, found) of keys in a shard; a position is meaningless where not found."""
+    keys, buckets = arrays["keys"], arrays["buckets"]
+    bits = (len(buckets) - 1).bit_length() - 1  # 2^bits buckets and an end
+    low = key & np.uint64((1 << (32 + bits)) - 1)
+    wanted, bucket = low.astype(np.uint32), (low >> np.uint64(32)).astype(np.int64)
+    lo, hi = buckets[bucket].astype(np.int64), buckets[bucket + 1].astype(np.int64)
+    end = hi.copy()
+    last = max(len(keys) - 1, 0)
+    while len(keys) and (lo < hi).any():
+        mid = (lo + hi) >> 1
+        less = keys[np.minimum(mid, last)] < wanted
+        open_ = lo < hi
+        lo = np.where(open_ & less, mid + 1, lo)
+        hi = np.where(open_ & ~less, mid, hi)
+    ok = lo < end
+    at = np.minimum(lo, last)
+    return at, (ok & (keys[at] == wanted)) if len(keys) else ok
+
+
+def _values(arrays: dict[str, np.ndarray], fields: tuple[str, ...], at: np.ndarray) -> list[np.ndarray]:
+    """The fields of the rows ``at``."""
+    code = arrays["code"][at]
+    other = np.flatnonzero(code == OTHER)
+    place = np.searchsorted(arrays["rest"], at[other]) if len(other) else other
+    out = []
+    for f in fields:
+        table = np.zeros(OTHER + 1)
+        table[: len(arrays[f"{f}_of"])] = arrays[f"{f}_of"]
+        v = table[code]
+        if len(other):
+            v[other] = arrays[f"{f}_rest"][place]
+        out.append(v)
+    return out
+
+
+def _below(tokens: list[np.ndarray], counts: np.ndarray, level: int, top: bool, shards: int, words: Codes) -> Iterator[tuple]:
+    """Blobs of what distinct n-grams of an order give to shorter ones."""
 
-def _narrow(a: np.ndarray) -> np.ndarray:
-    return a.astype(np.uint32) if not len(a) or int(a.max()) < 1 << 32 else a
+    def deal(columns: list[np.ndarray], values: list[np.ndarray], to: int, kind: int) -> Iterator[tuple]:
+        key, first, values = _group(words.keys(columns), values)
+        for s, b in _dealt([c[first] for c in columns], values, key, shards):
+            yield to, kind, s, b
 
-
-def _below(tokens: list[np.ndarray], counts: np.ndarray, level: int, top: bool, shards: int) -> Iterator[tuple]:
-    """Blobs of what distinct n-grams of an order give to shorter ones."""
-    n, zero, one = len(counts), np.zeros(len(counts), np.uint64), np.ones(len(counts), np.uint64)
-    of = [(counts == 1).astype(np.uint64), (counts == 2).astype(np.uint64), (counts > 2).astype(np.uint64)]
-    raw = counts if top else zero
-    suffix, context = tokens[1:], tokens[:-1]
-    columns = [np.concatenate((s, c)) for s, c in zip(suffix, context, strict=True)]
-    values = [np.concatenate(x) for x in ((one, zero), (raw if level == 2 else zero, zero), (zero, counts), *((zero, x) for x in of))]
-    key, first, values = _group(chain(columns), values)
-    for s, b in _dealt([c[first] for c in columns], values, key, shards):
-        yield level - 1, s, b
-    if top and level > 2:  # occurrences of single tokens
-        last = tokens[-1]
-        key, first, (sums,) = _group(chain([last]), [counts])
-        empty = np.zeros(len(key), np.uint64)
-        for s, b in _dealt([last[first]], [empty, sums, empty, empty, empty, empty], key, shards):
-            yield 1, s, b
-    assert n
+    yield from deal(tokens[1:], [np.ones(len(counts), np.uint8)], level - 1, SUFFIX)
+    yield from deal(tokens[:-1], [counts, *(x.astype(np.uint8) for x in (counts == 1, counts == 2, counts > 2))], level - 1, CONTEXT)
+    if top:  # occurrences of single tokens
+        yield from deal([tokens[-1]], [counts], 1, RAW)
 
 
 def train(docs: DataFrame, p: NgramParams = NgramParams(), text: str = "text") -> dict:
@@ -264,17 +432,22 @@ def train(docs: DataFrame, p: NgramParams = NgramParams(), text: str = "text") -
     spark = docs.sparkSession
     ship(spark)
     texts = docs.select(text_column(docs, text).cast("binary").alias("_text"))
-    size = 0 if p.shards else texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    shards = min(p.shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // SHARD_BYTES), 1 << 16)
-    folder = shared_path(spark, "ngrams")
-    rows = _count(texts, p, shards)
+    many, size = texts.agg(F.count(F.lit(1)), F.sum(F.octet_length("_text"))).first()
+    shards = p.shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // SHARD_BYTES)
+    folder, words = shared_path(spark, "ngrams"), frequent(texts, many, p)
+    rows = _count(texts, p, words, _groups(shards, p))
     model = {"folder": folder, "order": p.order, "shards": shards, "levels": {}}
     tables: list[str] = []
     for level in range(p.order, 0, -1):
-        done = materialise(_merge(rows, level, p, shards, folder), f"ngrams-{level}", tables)
-        totals = done.where("shard < 0").agg(*(F.sum(c).alias(c) for c in ("c1", "c2", "c3", "c4", "grams", "mass", "vocabulary", "tokens"))).first().asDict()
-        present = [-1 - r[0] for r in done.where("shard < 0").select("shard").collect()]
-        model["levels"][level] = {k: int(v or 0) for k, v in totals.items()} | {"shards": sorted(present)}
+        parts = 1 if level == p.order else p.rounds
+        done = []
+        for k in range(parts):
+            part = rows.where(F.col("level") == level).where(F.pmod("shard", F.lit(parts)) == k).where("shard >= 0")
+            done.append(materialise(_merge(part, level, p, words, shards, folder), f"ngrams-{level}", tables))
+            release(spark)
+        done = reduce(DataFrame.unionByName, done)
+        totals = done.where("shard < 0").agg(*(F.sum(c).alias(c) for c in _TOTALS)).first().asDict()
+        model["levels"][level] = {k: int(v or 0) for k, v in totals.items()}
         rows = done.unionByName(rows.where(F.col("level") < level)) if level < p.order else done
     for t in tables:
         remove(spark, t)
@@ -284,6 +457,15 @@ def train(docs: DataFrame, p: NgramParams = NgramParams(), text: str = "text") -
 # ---- scoring ---------------------------------------------------------------------------------------------
 
 
+@lru_cache(1 << 14)
+def _shard(uri: str) -> dict[str, np.ndarray] | None:
+    """A shard's arrays; None if no n-gram came to it, so that it has no file."""
+    try:
+        return open_arrays(uri)[0]
+    except FileNotFoundError:
+        return None
+
+
 class Model:
     """A model's mapped arrays."""
 
@@ -293,7 +475,6 @@ class Model:
         for k in range(1, self.order + 1):
             s = model["levels"][k]
             self.cuts[k] = discounts(s["c1"], s["c2"], s["c3"], s["c4"])
-            self.present = {k: set(s["shards"]) for k, s in model["levels"].items()}
         bottom = model["levels"][1]
         self.vocabulary, self.tokens, self.mass = bottom["vocabulary"], bottom["tokens"], bottom["mass"]
 
@@ -302,23 +483,14 @@ class Model:
         order = np.argsort(keys)
         keys = keys[order]
         out = [np.zeros(len(keys)) for _ in fields]
-        cuts = np.searchsorted(shard_of(keys, self.shards), np.arange(self.shards + 1, dtype=np.uint64))
-        for s in np.flatnonzero(np.diff(cuts)).tolist():
-            if s not in self.present[level]:
+        shard, first = np.unique(shard_of(keys, self.shards), return_index=True)
+        for s, a, b in zip(shard.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=True):
+            arrays = _shard(f"{self.m['folder']}/{level}-{s}")
+            if arrays is None:
                 continue
-            arrays, _ = open_arrays(f"{self.m['folder']}/{level}-{s}")
-            a, b = int(cuts[s]), int(cuts[s + 1])
-            at, ok = find(arrays["keys"], keys[a:b])
-            at = at[ok]
-            for f, o in zip(fields, out, strict=True):
-                if f == "count":
-                    values = arrays["count"][at].astype(np.float64)
-                    if len(arrays["big"]):
-                        big, hit = find(arrays["big"], at)
-                        values[hit] = arrays["big_count"][big[hit]]
-                else:
-                    values = arrays[f][at]
-                o[a:b][ok] = values
+            at, ok = _places(arrays, keys[a:b])
+            for o, v in zip(out, _values(arrays, fields, at[ok]), strict=True):
+                o[a:b][ok] = v
         result = []
         for o in out:
             back = np.empty_like(o)
@@ -382,18 +554,20 @@ def opened(model: dict) -> Model:
     return _models[model["folder"]]
 
 
-def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """All columns, and n_tokens, n_known, train_tokens, base_score, score, perplexity (of a token) in ``_lm``, a struct."""
+def score(docs: DataFrame, model: dict, text: str = "text", to: str = "_lm") -> DataFrame:
+    """All columns, and in ``to``, which ``docs`` may not have, a struct: n_tokens, n_known, train_tokens, base_score, score, perplexity (of a token)."""
+    if fresh(docs, to) != [to]:
+        raise ValueError(f"the column {to} is taken; name another in 'to'")
     names = docs.columns
 
     def block(c: dict) -> dict:
         m = opened(model)
         s = {k: v.tolist() for k, v in m.score([(t or "").encode("utf-8", "surrogatepass") for t in c[text]]).items()}
         rows = [{"n_tokens": n, "n_known": k, "train_tokens": m.tokens, "base_score": b, "score": x, "perplexity": 10 ** min(300.0, -x / n)} for n, k, b, x in zip(*s.values(), strict=True)]
-        return {n: c[n] for n in names} | {"_lm": rows}
+        return {n: c[n] for n in names} | {to: rows}
 
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return map_blocks(docs, block, ", ".join([*kept, "_lm struct<n_tokens: bigint, n_known: bigint, train_tokens: bigint, base_score: double, score: double, perplexity: double>"]), text, most=SCORED_BYTES)
+    return map_blocks(docs, block, ", ".join([*kept, f"`{to}` struct<n_tokens: bigint, n_known: bigint, train_tokens: bigint, base_score: double, score: double, perplexity: double>"]), text, most=SCORED_BYTES)
 
 
 def ngram_digest(docs: DataFrame, learn: Column, p: NgramParams = NgramParams()) -> DataFrame:

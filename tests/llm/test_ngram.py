@@ -54,13 +54,13 @@ def corpus(rng, n):
     return [rng.choices(words, weights, k=rng.choice([0, 1, 2, 5, 30])) for _ in range(n)]
 
 
-@pytest.mark.parametrize("order, shards", [(1, 3), (2, 5), (3, 1), (4, 7)])
-def test_equals_brute_force(spark, order, shards):
+@pytest.mark.parametrize("order, shards, fan", [(1, 3, 9), (2, 5, 9), (3, 1, 9), (3, 12, 4), (4, 7, 9)])
+def test_equals_brute_force(spark, order, shards, fan):
     rng = random.Random(order)
     texts = corpus(rng, 150) + [["w0"] * 700]
     test = corpus(rng, 40) + [["new", "w1", "new"], ["w0"] * 20]
     docs = spark.createDataFrame([(i, " \n".join(t).upper()) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
-    model = N.train(docs, N.NgramParams(order=order, tokens=300, shards=shards))
+    model = N.train(docs, N.NgramParams(order=order, tokens=300, shards=shards, fan=fan, sample=20))
     slow = Slow(texts, order)
     rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(test)], "doc_id long, text string")
     total, vocabulary = sum(slow.raw.values()), len(slow.raw)
@@ -79,12 +79,32 @@ def test_equals_brute_force(spark, order, shards):
 
 def test_blobs():
     rng = np.random.default_rng(1)
-    t = [np.sort(rng.integers(0, 50, 400).astype(np.uint64) * np.uint64(1 << 40)), rng.integers(0, 1 << 48, 400).astype(np.uint64)]
+    plain = np.unique(rng.integers(0, 1 << 48, 60).astype(np.uint64))
+    words = N.Codes(rng.permutation(plain[::2]))
+    own = [rng.choice(plain, 400) for _ in range(2)]
+    t = [words.coded(x) for x in own]
+    assert {int(x) >> 48 for x in t[0]} == {0, 1} and all(np.array_equal(words.plain(x), y) for x, y in zip(t, own, strict=True))
+    assert np.array_equal(words.keys(t), N.chain(own))
     v = [rng.integers(0, 1 << 40, 400).astype(np.uint64), np.zeros(400, np.uint64)]
     a, b = N._unpack(N._pack(t, v), 2, 2)
     assert all(np.array_equal(x, y) for x, y in zip(t + v, a + b, strict=True))
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 40_000])
+def test_layout(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 1 << 63, 2 * n + 1).astype(np.uint64))
+    rng.shuffle(keys)
+    own, other = np.sort(keys[:n]), keys[n:]
+    counts = rng.choice(np.array([0, 1, 7, 254, 255, 256, 1 << 40], dtype=np.uint64), n)
+    more = rng.integers(0, 1000, n).astype(np.uint64)
+    arrays = N._layout(own, {"count": counts, "more": more})
+    at, ok = N._places(arrays, own)
+    got = N._values(arrays, ("more", "count"), at)
+    assert ok.all() and np.array_equal(got[0], more.astype(float)) and np.array_equal(got[1], counts.astype(float))
+    assert not N._places(arrays, other)[1].any()
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "x"), (2, "", "x"), (2, "A b", "x"), (2, "A b", "x"), (None, "a\x1cb c\x0bd", None), (9, "long " * 300000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
