@@ -52,7 +52,7 @@ END = xxhash.xxh64_intdigest(b" end") & LOW48
 #: A shard is summed in one task's memory, so there are more of them for more text.
 SHARD_BYTES = 6 << 20
 #: Texts are scored in blocks of so many bytes: about 30 numbers are held for each token.
-SCORED_BYTES = 2 << 20
+SCORED_BYTES = 5 << 18
 #: Most words that get a code. A token is its hash, or CODED and the number of its code.
 CODES = (1 << 20) - 1
 CODED = np.uint64(1 << 48)
@@ -520,17 +520,22 @@ class Model:
             bottom = np.full(len(uniq), floor)
         p = bottom[inverse[at]]
         context = {f: fields[f][inverse[at - 1]] for f in FIELDS[2:]} if self.order > 1 else {}
+        # below the highest order an n-gram is looked up once, as what is scored and as the context of the next place
+        ends = np.zeros(len(codes), dtype=bool)
+        ends[at] = ends[at - 1] = self.order > 1
+        near = np.flatnonzero(ends)
+        place = np.cumsum(ends) - 1
         for k in range(2, self.order + 1):
-            wanted = ("count",) if k == self.order else ("before", *FIELDS[2:])
-            columns = [codes[at - i] for i in range(k - 1, -1, -1)]
-            got = dict(zip(wanted, self.look(k, chain(columns), wanted), strict=True))
-            c, total, d = got[wanted[0]], context["total"], self.cuts[k]
+            top = k == self.order
+            wanted, last = (("count",), at) if top else (("before", *FIELDS[2:]), near)
+            got = dict(zip(wanted, self.look(k, chain([codes[last - i] for i in range(k - 1, -1, -1)]), wanted), strict=True))
+            c, total, d = got[wanted[0]] if top else got["before"][place[at]], context["total"], self.cuts[k]
             known = total > 0
             safe = np.where(known, total, 1)
             gamma = (d[0] * context["n1"] + d[1] * context["n2"] + d[2] * context["n3"]) / safe
             p = np.where(known, (c - self._cut(k, c)) / safe + gamma * p, p)
-            if k < self.order:  # the contexts of the next order end one place earlier
-                context = self._shifted(k, codes, at)
+            if not top:  # the contexts of the next order end one place earlier
+                context = {f: got[f][place[at - 1]] for f in FIELDS[2:]}
         n = len(texts)
         base = np.log10((raw + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
         return {
@@ -538,10 +543,6 @@ class Model:
             "base_score": np.bincount(owner, weights=base, minlength=n), "score": np.bincount(owner, weights=np.log10(p), minlength=n),
         }
 
-    def _shifted(self, k: int, codes: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
-        columns = [codes[at - i] for i in range(k, 0, -1)]
-        return dict(zip(FIELDS[2:], self.look(k, chain(columns), FIELDS[2:]), strict=True))
-
 
 _models: dict[str, Model] = {}
 
