@@ -1,4 +1,4 @@
-"""Archive tools: python -m blockflow COMMAND ... (verify, info, compare, export, import, prune, replay, follow)."""
+"""Archive tools: python -m blockflow COMMAND ... (verify, info, compare, export, import, prune, replay, follow, bootstrap, consume)."""
 
 from __future__ import annotations
 
@@ -36,7 +36,9 @@ def parser() -> argparse.ArgumentParser:
     add("export", "source", "target", bounds=True, segment_size=segments.SEGMENT_SIZE)
     add("import", "source", "target", segment_size=segments.SEGMENT_SIZE)
     add("prune", "root", keep=0, segment_size=segments.SEGMENT_SIZE)
-    for c in (add("replay", "root", bounds=True, batch=10_000), add("follow", "endpoint", until=-1)):
+    c = add("consume", "root", bounds=True)
+    c.add_argument("--cursor", default="")
+    for c in (add("replay", "root", bounds=True, batch=10_000), add("follow", "endpoint", until=-1), add("bootstrap", "root", "endpoint", until=-1)):
         c.add_argument("--parquet", default="")
         c.add_argument("--archive", default="")
         c.add_argument("--token", default="")
@@ -77,9 +79,15 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         first = segments.read_archive(spark, a.root, raw=False).agg({"round": "min"}).first()[0]
         cp = segments.read_checkpoint(a.root)
         print(sinks.replay(spark, a.root, sinks.build_sinks(spark, a.parquet, a.archive), first if a.start is None else a.start, cp if a.end is None else a.end, a.batch))
+    elif a.command == "consume":
+        print(follow.consume(spark, a.root, lambda b: print(b["round"], b["block_hash"]), segments.CursorFile(a.cursor), a.start or 0, a.end or 0))
     else:
         c = options.load({"endpoint": a.endpoint, "token": a.token, "parquet_root": a.parquet, "archive_root": a.archive})
         sink = sinks.build_sinks(spark, c.parquet_root, c.archive_root, c.segment_size)
+        if a.command == "bootstrap":
+            client = HttpClient(c.endpoint, c.token)
+            print(follow.bootstrap(spark, a.root, lambda: HttpClient(c.endpoint, c.token), sink, c, client.last_round() if a.until < 0 else a.until))
+            return 0
         print(follow.follow_live(spark, lambda: HttpClient(c.endpoint, c.token), sink, c, None if a.until < 0 else a.until))
     return 0 if ok else 1
 

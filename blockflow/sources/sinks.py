@@ -8,6 +8,7 @@ last, and readers stop at the cursor. Delivery is at least once; with these sink
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from blockflow.functions.chain import explode_transactions
 from blockflow.operators import integrity
 from blockflow.sources import segments
+from blockflow.streaming.observe import CommitTimings
 
 #: Points at which a sink can be told to fail, for tests of recovery.
 FAULTS = ("before_begin", "during_writes", "during_checkpoint", "before_commit", "after_commit")
@@ -53,8 +55,10 @@ def check_batch(blocks: DataFrame) -> tuple[int, int]:
 class ParquetSink:
     """Tables ``blocks`` and ``transactions`` and a cursor, in a folder that driver and executors share."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str = "parquet", fault: str | None = None, on_commit: Callable[[int, int], None] | None = None) -> None:
-        self.spark, self.root, self.name, self.fault, self.on_commit = spark, root.rstrip("/"), name, fault, on_commit
+    def __init__(self, spark: SparkSession, root: str, name: str = "parquet", fault: str | None = None, on_commit: Callable[[int, int], None] | None = None, on_timings: Callable[[CommitTimings], None] | None = None) -> None:
+        if segments.local(root) is None:
+            raise ValueError(f"{root}: tables need a path that is mounted on the driver")
+        self.spark, self.root, self.name, self.fault, self.on_commit, self.on_timings = spark, root.rstrip("/"), name, fault, on_commit, on_timings
         self.cursor = segments.CursorFile(f"{self.root}/last_processed_round")
 
     def _point(self, name: str) -> None:
@@ -83,15 +87,22 @@ class ParquetSink:
         if ends[0] is None:
             return
         batch = f"batch={ends[0]:020d}-{ends[1]:020d}"
+        at = [time.perf_counter_ns()]
         txs = integrity.first_writer(explode_transactions(new))
         if (old := self.transactions()) is not None:
             txs = integrity.only_new(txs, old, "txid")
         self._put(new.drop("transactions").withColumn("created_at", F.current_timestamp()), "blocks", batch)
+        at.append(time.perf_counter_ns())
         self._point("during_writes")
         self._put(txs.withColumn("created_at", F.current_timestamp()), "transactions", batch)
+        at.append(time.perf_counter_ns())
         self._point("during_checkpoint")
         self._point("before_commit")
         self.cursor.save(max(ends[1], done if done is not None else ends[1]))
+        at.append(time.perf_counter_ns())
+        if self.on_timings:
+            a, b, c, d = at
+            self.on_timings(CommitTimings("anti-join", ends[1] - ends[0] + 1, b - a, c - b, d - c, d - c, d - a))
         if self.on_commit:
             self.on_commit(*ends)
         self._point("after_commit")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from blockflow.config import Config
+from blockflow.functions.durations import per_second
 from blockflow.functions.errors import retryable, with_retry
 from blockflow.operators import integrity
 from blockflow.runtime import ship
 from blockflow.sources import segments
 from blockflow.sources.live import BlockClient, read_live
 from blockflow.sources.sinks import Sink, decoded_archive, replay
-from blockflow.streaming.observe import Health
+from blockflow.streaming.observe import Health, Metrics
 
 RELEASED = "chain string, round bigint, block_hash string, previous_block_hash string, linked boolean"
 
@@ -152,41 +154,78 @@ def follow_archive(spark: SparkSession, root: str, sink: Sink, checkpoint: str,
     return (writer.trigger(availableNow=True) if until is not None else writer.trigger(processingTime="200 milliseconds")).start()
 
 
-def follow_live(spark: SparkSession, factory: Callable[[], BlockClient], sink: Sink, config: Config, until: int | None = None, poll: float = 1.0, health: Health | None = None, stop: Callable[[], bool] = lambda: False) -> int | None:
+def follow_live(spark: SparkSession, factory: Callable[[], BlockClient], sink: Sink, config: Config, until: int | None = None, poll: float = 1.0, health: Health | None = None, stop: Callable[[], bool] = lambda: False, metrics: Metrics | None = None) -> int | None:
     """Fetch from a node and commit, round after round, until ``until`` (or ``stop()``); returns the sink's cursor.
 
     Each turn takes the rounds up to the tip, at most a window of them, fetched in tasks; at the tip that is one block.
-    A failed turn changes nothing and is repeated; an error that no repeat can heal ends the run.
+    What is fetched waits for a commit until ``should_flush`` says so. After ``stop()`` what is ready is committed once more;
+    if that fails the cursor stays. A failed turn changes nothing and is repeated; an error that no repeat can heal ends
+    the run.
     """
-    client = factory()
+    client, metrics = factory(), metrics or Metrics()
     tip = with_retry(client.last_round)
-    next_ = start_round(sink.last_processed_round(), config.first_round, tip, sink.max_block_round())
-    commit, turn = commit_to(sink), 0
+    next_ = fetched = start_round(sink.last_processed_round(), config.first_round, tip, sink.max_block_round())
+    commit, turn, since = commit_to(sink), 0, time.monotonic()
+    ready: list[DataFrame] = []
+    metrics.set("workers_total", config.fetch_workers)
+
+    def flush() -> None:
+        nonlocal next_, turn, since
+        began, n = time.monotonic(), fetched - next_
+        commit(reduce(DataFrame.unionByName, ready), turn)
+        took = time.monotonic() - began
+        for df in ready:
+            df.unpersist()
+        ready.clear()
+        metrics.observe("commit_latency_seconds", took, getattr(sink, "name", ""))
+        metrics.add("blocks_processed_total", n)
+        metrics.set("commit_blocks_per_second", per_second(n, took))
+        next_, turn, since = fetched, turn + 1, time.monotonic()
+        if health:
+            health.update(sink_error="", has_checkpoint=True, checkpoint=fetched - 1)
+
     while not stop() and (until is None or next_ <= until):
         tip = with_retry(client.last_round)
-        last = min(tip, next_ + config.fetch_window - 1, tip if until is None else until)
+        done = sink.last_processed_round()
+        metrics.rounds(next_, tip, done)
         if health:
-            done = sink.last_processed_round()
             health.update(tip=tip, next_commit=next_, has_checkpoint=done is not None, checkpoint=done or 0)
-        if last < next_:
-            time.sleep(poll)
-            continue
+        last = min(tip, next_ + config.fetch_window - 1, tip if until is None else until)
         try:
-            commit(read_live(spark, factory, next_, last, config.fetch_workers), turn)
+            stuck = last < fetched
+            if not stuck:
+                began = time.monotonic()
+                df = read_live(spark, factory, fetched, last, config.fetch_workers).persist()
+                n = df.count()
+                metrics.add("blocks_fetched_total", n)
+                metrics.observe("fetch_latency_seconds", time.monotonic() - began)
+                ready.append(df)
+                fetched = last + 1
+            metrics.set("awaiting_commit", fetched - next_)
+            size = batch_size(next_, tip, config.commit_batch)
+            if should_flush(fetched - next_, size, fetched > tip, until is not None and fetched > until, stuck, time.monotonic() - since, config.flush_ms / 1000):
+                flush()
+            elif stuck:
+                time.sleep(poll)
         except ValueError:
+            metrics.add("errors_total")
             if health:
                 health.update(failed=True)
             raise  # the chain itself is wrong
         except Exception as e:
+            metrics.add("errors_total")
             if not retryable(e):
                 raise
             if health:
                 health.update(sink_error=str(e)[:200])
             time.sleep(min(poll, 0.5))
-            continue
-        if health:
-            health.update(sink_error="", has_checkpoint=True, checkpoint=last)
-        next_, turn = last + 1, turn + 1
+    if ready:
+        try:
+            flush()
+        except Exception as e:
+            metrics.add("errors_total")
+            if health:
+                health.update(sink_error=str(e)[:200])
     return sink.last_processed_round()
 
 
