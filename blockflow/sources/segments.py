@@ -323,8 +323,10 @@ def write_archive(blocks: DataFrame, root: str, size: int = SEGMENT_SIZE, fail_a
     right after the checkpoint (anywhere in an empty archive), and have a hash and a payload. ``fail_at`` (before_rename,
     before_checkpoint) stops there, for tests of recovery.
     """
+    own = local(root)
+    if own is None:
+        raise ArchiveError(f"{root}: an archive is written to a path that is mounted on the driver and the executors")
     ship(blocks.sparkSession)
-    own = local(root) or root
     cp = read_checkpoint(root)
     new = blocks.select("round", "block_hash", "previous_block_hash", "raw")
     if cp is not None:

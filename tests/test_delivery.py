@@ -119,6 +119,8 @@ def test_live_follow_flushes_drains_and_times(spark, tmp_path):
 def test_remote_paths_are_refused(spark):
     with pytest.raises(ValueError):
         sinks.ParquetSink(spark, "s3://bucket/x")
+    with pytest.raises(segments.ArchiveError):
+        segments.write_archive(spark.range(1), "s3://bucket/x")
 
 
 def test_compare_in_step(spark):
