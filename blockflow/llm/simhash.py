@@ -285,7 +285,7 @@ def row_keys(docs: DataFrame, id_column: str, text: str) -> list[Column]:
     return [F.xxhash64(F.lit(k), docs[id_column].isNull(), docs[id_column], text_column(docs, text)) for k in (1, 2)]
 
 
-def _grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
+def grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
     """``rows`` (id, fp and others) with root, the same for each row of a component, and component, its smallest id."""
     distinct = materialise(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     joined = components(links(distinct.select("fp"), p))
@@ -299,7 +299,7 @@ def _grouped(rows: DataFrame, p: SimHashParams) -> DataFrame:
 def near_duplicates(docs: DataFrame, p: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """id, fp, component: each row's fingerprint and the smallest id of its component."""
     rows = materialise(fingerprints(docs, p, id_column, text), "fingerprints")
-    return _grouped(rows, p).select("id", "fp", "component")
+    return grouped(rows, p).select("id", "fp", "component")
 
 
 def simhash_digest(docs: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame:
@@ -315,7 +315,7 @@ def first_rows(rows: DataFrame, p: SimHashParams = SimHashParams()) -> DataFrame
     others, so such a row stays only if its component has no named one.
     """
     member = F.struct(F.col("id").isNull().alias("unnamed"), "id", "h1", "h2")
-    return _grouped(rows, p).groupBy("root").agg(F.min(member).alias("x")).select("x.*")
+    return grouped(rows, p).groupBy("root").agg(F.min(member).alias("x")).select("x.*")
 
 
 def only(docs: DataFrame, rows: DataFrame, kept: DataFrame, id_column: str, text: str) -> DataFrame:

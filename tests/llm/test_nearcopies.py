@@ -53,10 +53,10 @@ def similar_pairs(texts):
 def test_links_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     texts = {r.doc_id: r.text for r in docs.collect()}
-    rows = N.features(docs).select("id", F.col("h1").alias("node"), "keys").cache()
+    rows = N.features(docs).select("id", F.col("h1").alias("node"), F.col("h1").alias("group"), "keys").cache()
     of = {r.node: r.id for r in rows.collect()}
     keyed = docs.select(row_keys(docs, "doc_id", "text")[0].alias("_node"), F.coalesce("text", F.lit("")).cast("binary").alias("_text"))
-    got = N.links(rows.select("node", "keys"), lambda nodes: keyed.join(nodes.withColumnRenamed("node", "_node"), "_node", "left_semi"))
+    got = N.links(rows.select("node", "group", "keys"), lambda nodes: keyed.join(nodes.withColumnRenamed("node", "_node"), "_node", "left_semi"))
     want = similar_pairs(texts)
     assert {tuple(sorted((of[r.a], of[r.b]))) for r in got.collect()} == want and len(want) > 50
 
@@ -97,3 +97,42 @@ def test_whole_groups_against_brute_force(spark):
         a, b = find(i), find(j)
         root[max(a, b)] = min(a, b)
     assert kept == {find(i) for i in texts}
+
+
+def test_crowded_keys_lose_no_group(spark):
+    """Texts that share a long passage meet under crowded keys in many groups; a chain's ends are alike only through others."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(110))
+    texts = []
+    for g in range(40):
+        t = passage + " " + " ".join(f"g{g}_{i}" for i in range(rng.choice([40, 60])))
+        for _ in range(rng.choice([1, 2, 6])):
+            texts.append(t)
+            t = edited(rng, t, rng.choice([2, 3]))
+    texts = dict(enumerate(dict.fromkeys(texts)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = similar_pairs(texts)
+
+    def groups(pairs):
+        root = {i: i for i in texts}
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for a, b in pairs:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+        return {i: find(i) for i in texts}
+
+    rows = N.features(docs).select("id", F.col("h1").alias("node"), F.col("h1").alias("group"), "keys").cache()
+    of = {r.node: r.id for r in rows.collect()}
+    keyed = docs.select(row_keys(docs, "doc_id", "text")[0].alias("_node"), F.col("text").cast("binary").alias("_text"))
+    p = N.NearCopyParams(bucket=3)
+    got = N.links(rows.select("node", "group", "keys"), lambda nodes: keyed.join(nodes.withColumnRenamed("node", "_node"), "_node", "left_semi"), p)
+    got = {tuple(sorted((of[r.a], of[r.b]))) for r in got.collect()}
+    assert got <= want and groups(got) == groups(want)
+    assert 1 < len(set(groups(want).values())) < len(texts)
+    kept = {r.doc_id for r in N.keep_distinct(docs, p).collect()}
+    assert kept == set(groups(want).values())
