@@ -37,6 +37,12 @@ def recent_blocks(blocks: DataFrame, limit: object = 40, before: object = 0) ->
     return rows.select(*BLOCK_COLUMNS).orderBy(F.desc("round")).limit(page(limit))
 
 
+def newest(rows: DataFrame, rounds: DataFrame, limit: object = 40) -> DataFrame:
+    """``rows`` from the round on that the last of the ``limit`` newest of ``rounds`` has: joins and ranks need no others."""
+    last = rounds.select("round").orderBy(F.desc("round")).limit(page(limit)).agg(F.min("round")).first()[0]
+    return rows if last is None else rows.where(F.col("round") >= last)
+
+
 def block_by_round(blocks: DataFrame, round_: int) -> DataFrame:
     return blocks.where(F.col("round") == round_).select(*BLOCK_COLUMNS)
 

@@ -45,12 +45,13 @@ def explorer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"SELECT {BLOCKS} FROM v_blocks ORDER BY round DESC LIMIT 40")
 def recent_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.recent_blocks(V.blocks(spark, sf_dir))
+    return X.recent_blocks(X.newest(V.blocks(spark, sf_dir), V.blocks(spark, sf_dir, False, False)))
 
 
 @_query(f"SELECT {BLOCKS} FROM v_blocks WHERE round < 1000 ORDER BY round DESC LIMIT 25")
 def blocks_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.recent_blocks(V.blocks(spark, sf_dir), 25, 1000)
+    rounds = V.blocks(spark, sf_dir, False, False).where("round < 1000")
+    return X.recent_blocks(X.newest(V.blocks(spark, sf_dir), rounds, 25), 25, 1000)
 
 
 @_query(f"SELECT {BLOCKS} FROM v_blocks WHERE round = 77")
@@ -67,7 +68,7 @@ def block_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"SELECT {TX} FROM v_transactions ORDER BY v_transactions.round DESC, intra DESC LIMIT 40")
 def recent_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.recent_transactions(V.transactions(spark, sf_dir, ordinal=True))
+    return X.recent_transactions(X.newest(V.transactions(spark, sf_dir, ordinal=True), V.transactions(spark, sf_dir)))
 
 
 @_query(f"SELECT {TX} FROM v_transactions WHERE round = 33 ORDER BY intra DESC LIMIT 40")
