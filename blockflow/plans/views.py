@@ -35,15 +35,16 @@ def blocks(spark: SparkSession, sf_dir: str, previous: bool = True, counts: bool
 
 def transactions(spark: SparkSession, sf_dir: str, ordinal: bool = False) -> DataFrame:
     """round, txid, sender, type, app_id, [intra]."""
-    items = read_table(spark, sf_dir, "lineitem")
+    # named before the window, whose partitions it makes: filters of rounds then reach the scan
+    items = read_table(spark, sf_dir, "lineitem").withColumn("round", F.col("l_orderkey"))
     kind = F.when(F.col("l_returnflag") == "A", "appl").when(F.col("l_returnflag") == "N", "pay").otherwise("axfer")
     columns = [
-        F.col("l_orderkey").alias("round"), F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("txid"),
+        F.col("round"), F.concat(F.col("round").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("txid"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sender"), kind.alias("type"),
         F.when(F.col("l_returnflag") == "A", F.nullif(F.col("l_partkey"), F.lit(0).cast("bigint"))).alias("app_id"),
     ]
     if ordinal:
-        columns.append(F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*PAYSET_ORDER)).alias("intra"))
+        columns.append(F.row_number().over(Window.partitionBy("round").orderBy(*PAYSET_ORDER)).alias("intra"))
     return items.select(*columns)
 
 
