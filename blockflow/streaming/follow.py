@@ -12,11 +12,14 @@ import time
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from blockflow.config import Config
 from blockflow.functions.durations import per_second
@@ -56,37 +59,87 @@ def should_flush(ready: int, size: int, at_tip: bool, reached_end: bool, stuck:
 # ---- order ------------------------------------------------------------------------------------------------------------
 
 
+#: Rounds in a part of the waiting blocks: state is read and written by parts, which cost a call each.
+PART = 1000
+_WAITING = pa.schema([("round", pa.int64()), ("block_hash", pa.large_string()), ("previous_block_hash", pa.large_string())])
+_RELEASE_ROWS = 1 << 16
+
+
+def _first_by_round(blocks: pa.Table) -> pa.Table:
+    """Sorted by round; of several rows of a round the first one."""
+    rounds = blocks.column("round").to_numpy()
+    order = np.argsort(rounds, kind="stable")
+    rounds = rounds[order]
+    return blocks.take(pa.array(order[np.concatenate(([True], rounds[1:] != rounds[:-1]))])) if len(order) else blocks
+
+
 class OrderedBuffer(StatefulProcessor):
-    """For each chain: the next round, the last released hash, and the blocks that came early."""
+    """For each chain: the next round, the last released hash, and the blocks that came early, in parts of ``PART`` rounds."""
 
     def __init__(self, first: int) -> None:
         self.first = first
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.cursor = handle.getValueState("cursor", StructType([StructField("next", LongType()), StructField("hash", StringType())]))
-        self.pending = handle.getMapState("pending", StructType([StructField("round", LongType())]), StructType([StructField("block_hash", StringType()), StructField("previous_block_hash", StringType())]))
+        self.waiting = handle.getMapState("waiting", StructType([StructField("part", LongType())]), StructType([StructField("blocks", BinaryType())]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         next_, last = self.cursor.get() if self.cursor.exists() else (self.first, "")
-        early = {k[0] for k in self.pending.keys()}  # rounds only
-        come: dict[int, tuple[str, str]] = {}
-        for df in rows:
-            for r in df.sort_values("round", kind="stable").itertuples(index=False):
-                if r.round >= next_ and r.round not in early:  # the first to come stays
-                    come.setdefault(int(r.round), (r.block_hash or "", r.previous_block_hash or ""))
-        out = []
-        while next_ in come or next_ in early:
-            if next_ in come:
-                h, prev = come.pop(next_)
-            else:
-                h, prev = self.pending.getValue((next_,))
-                self.pending.removeKey((next_,))
-            out.append((key[0], next_, h, prev, bool(h) and (not last or not prev or prev == last)))
-            next_, last = next_ + 1, h
-        for round_, block in come.items():  # only what has to wait is kept as state
-            self.pending.updateValue((round_,), block)
+        early = {k[0] for k in self.waiting.keys()}  # numbers of parts only
+        come = [pa.Table.from_pandas(df[_WAITING.names], schema=_WAITING, preserve_index=False) for df in rows]
+        new = pa.concat_tables([t.filter(pc.greater_equal(t.column("round"), next_)) for t in come] or [_WAITING.empty_table()]).combine_chunks()
+        del come
+        new = _first_by_round(new)
+        parts, at = np.unique(new.column("round").to_numpy() // PART, return_index=True)
+        ends = dict(zip(parts.tolist(), zip(at.tolist(), [*at[1:].tolist(), len(new)], strict=True), strict=True))
+
+        def blocks_of(part: int) -> pa.Table:
+            lo, hi = ends.pop(part, (0, 0))
+            own = new.slice(lo, hi - lo)
+            if part not in early:
+                return own
+            with pa.ipc.open_stream(bytes(self.waiting.getValue((part,))[0])) as f:
+                return _first_by_round(pa.concat_tables([f.read_all(), own]).combine_chunks())  # the first to come stays
+
+        def keep(part: int, blocks: pa.Table) -> None:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, _WAITING) as f:
+                f.write_table(blocks.combine_chunks())
+            self.waiting.updateValue((part,), (out.getvalue().to_pybytes(),))
+
+        ready: list[pa.Table] = []
+        while (part := next_ // PART) in ends or part in early:
+            blocks = blocks_of(part)
+            rounds = blocks.column("round").to_numpy()
+            n = int(np.argmin(np.append(rounds == next_ + np.arange(len(rounds)), False)))
+            ready.append(blocks.slice(0, n))
+            next_ += n
+            if n < len(blocks):  # only what has to wait is kept as state
+                keep(part, blocks.slice(n))
+            elif part in early:
+                self.waiting.removeKey((part,))
+            early.discard(part)
+            if sum(map(len, ready)) >= _RELEASE_ROWS:
+                df, last = self.released(key[0], ready, last)
+                ready = []
+                yield df
+            if next_ // PART == part:
+                break
+        for part in list(ends):
+            keep(part, blocks_of(part))
+        df, last = self.released(key[0], ready, last)
         self.cursor.update((next_, last))
-        yield pd.DataFrame(out, columns=["chain", "round", "block_hash", "previous_block_hash", "linked"])
+        yield df
+
+    @staticmethod
+    def released(chain: str, ready: list[pa.Table], last: str) -> tuple[pd.DataFrame, str]:
+        """The rows of blocks in order, and the last one's hash."""
+        df = pa.concat_tables([_WAITING.empty_table(), *ready]).to_pandas()
+        df["block_hash"], df["previous_block_hash"] = df["block_hash"].fillna(""), df["previous_block_hash"].fillna("")
+        before = df["block_hash"].shift(fill_value=last)
+        df["linked"] = (df["block_hash"] != "") & ((before == "") | (df["previous_block_hash"] == "") | (df["previous_block_hash"] == before))
+        df.insert(0, "chain", chain)
+        return df, df["block_hash"].iloc[-1] if len(df) else last
 
     def close(self) -> None:
         pass

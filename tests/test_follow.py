@@ -1,6 +1,7 @@
 import os
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,40 @@ def test_ordered_buffer(spark, tmp_path):
     assert run() == [("a", r, True) for r in range(60)] + [("b", r, r != 4) for r in range(10)]  # a restart goes on
 
 
+def test_ordered_buffer_keeps_parts(monkeypatch):
+    """Long waits cost a call a part, not a round; the first of a round to come stays, null hashes count as empty."""
+
+    class State(dict):
+        calls = 0
+        getValue, exists = dict.__getitem__, lambda s: "c" in s  # noqa: N815
+        get = lambda s: s["c"]
+        update = lambda s, v: s.__setitem__("c", v)
+        removeKey = dict.__delitem__  # noqa: N815
+
+        def updateValue(self, k, v):  # noqa: N802
+            self.calls += 1
+            self[k] = v
+
+    monkeypatch.setattr(L, "_RELEASE_ROWS", 1500)
+    b = L.OrderedBuffer(7)
+    b.cursor, b.waiting = State(), State()
+
+    def send(*frames):
+        return pd.concat(b.handleInputRows(("a",), iter([pd.DataFrame(f, columns=["round", "block_hash", "previous_block_hash"]) for f in frames]), None))
+
+    row = lambda r, h="h": (r, f"{h}{r}", f"h{r - 1}")
+    late = list(range(8, 4500))
+    random.Random(2).shuffle(late)
+    assert len(send([row(r) for r in late[:2000]], [row(r, "x") for r in late[:100]])) == 0
+    assert len(send([row(r) for r in late[1900:]] + [(3, "old", ""), (4502, None, None)])) == 0
+    assert b.waiting.calls <= 2 * 5 and sorted(b.waiting) == [(k,) for k in range(5)] and b.cursor["c"] == (7, "")
+    got = send([row(7), row(7, "y"), (4500, None, None)], [(4501, "h", "other")])
+    assert got["round"].tolist() == list(range(7, 4503)) and got["block_hash"].tolist()[:4493] == [f"h{r}" for r in range(7, 4500)]
+    assert got["linked"].tolist() == [True] * 4493 + [False, True, False] and not b.waiting and b.cursor["c"] == (4503, "")
+    assert len(send([(r, "z", "") for r in (4502, 4504)])) == 0 and list(b.waiting) == [(4,)]
+    assert send([(4503, "h", "")])["round"].tolist() == [4503, 4504]
+
+
 def test_batches(spark):
     assert check_batch(simple(spark, 4, 5)) == (4, 8)
     for bad in (simple(spark, 0, 5).where("round <> 2"), simple(spark, 0, 2).union(simple(spark, 0, 2)), simple(spark, 0, 2).limit(0)):
