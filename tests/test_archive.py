@@ -1,4 +1,6 @@
+import io
 import os
+import random
 import struct
 
 import pytest
@@ -149,3 +151,51 @@ def test_checkpoint_forms(root, data, want):
     with open(f"{root}/checkpoint", "wb") as f:
         f.write(data)
     assert G.read_checkpoint(root) == want
+
+
+def test_many_segments_are_few_tasks(spark, root):
+    G.write_archive(simple(spark, 3, 400), root, 2)
+    df = G.read_archive(spark, root)
+    assert len(G.list_segments(root)) == 201 and df.rdd.getNumPartitions() <= 64
+    assert rounds(df) == list(range(3, 403))
+    groups = G.group_segments(G.plan_segments(root, 0, 402), 5, 1 << 20)
+    assert len(groups) == 5 and [p.path for g in groups for p in g.parts] == [p for _, p in G.list_segments(root)]
+    assert len(G.group_segments(G.plan_segments(root, 0, 402), 5, 1000)) > 10
+
+
+@pytest.mark.parametrize("raw", [True, False])
+def test_records_across_what_is_read_ahead(raw):
+    rng = random.Random(4)
+    rows = [(r, "h" * rng.randrange(300), f"p{r}", rng.randbytes(rng.choice((0, 5, 1 << 16, (1 << 20) + 7)))) for r in range(60)]
+    data = b"".join(G.encode_record(*x) for x in rows)
+    got = list(G.read_records(io.BytesIO(data), raw))
+    assert [x[1:] for x in got] == [(*x[:3], x[3] if raw else None) for x in rows]
+    assert [x[0] for x in got] == [sum(len(G.encode_record(*y)) for y in rows[:k]) for k in range(60)]
+    for cut in (1, 9, len(rows[-1][3]) + 3):
+        cut_ = list(G.read_records(io.BytesIO(data[:-cut]), raw))
+        assert len(cut_) == 60 and cut_[-1] == (got[-1][0],) and cut_[:-1] == got[:-1]
+
+
+def test_one_pass_counts_what_the_sorted_way_counts(spark, root, monkeypatch):
+    def damage(rows):
+        bad = {5: (1, ""), 7: (2, "Z"), 11: (1, "Q")}
+        return [(*r[: bad[r[0]][0]], bad[r[0]][1], *r[bad[r[0]][0] + 1 :]) if r[0] in bad else r for r in rows]
+
+    def write(rows):
+        for start in range(0, 40, 10):
+            os.makedirs(f"{root}/segments", exist_ok=True)
+            with open(f"{root}/segments/{start:020d}.seg", "wb") as f:
+                f.write(struct.pack(G.HEADER, G.MAGIC, G.VERSION, start) + b"".join(G.encode_record(r[0], r[1], r[2], bytes(r[5])) for r in rows if r[0] // 10 * 10 == start) + (b"\x01" if start == 20 else b""))
+        G.write_checkpoint(root, 37)
+
+    own = [(b["round"], b["block_hash"], b["previous_block_hash"], 0, 0, b["raw"], []) for b in make_chain(0, 40)]
+    gone = [r for r in damage(own) if r[0] not in (0, 14, 15, 20, 33)]
+    ranges = ((None, None), (2, 30), (14, 15), (35, 50))
+    write(gone)
+    one = [G.verify_archive(spark, root, *x).first() for x in ranges]
+    assert (one[0].blocks, one[0].gaps, one[0].corrupt_records, one[0].segments) == (33, 3, 4, 4) and not one[0].ok
+    with monkeypatch.context() as m:
+        m.setattr(G, "digest", lambda *_: None)
+        assert [G.verify_archive(spark, root, *x).first() for x in ranges] == one
+    write([*gone[:3], gone[4], gone[3], *gone[5:]])  # out of order in its file
+    assert G.digest(G.read_archive(spark, root), True) is None and G.verify_archive(spark, root).first() == one[0]
