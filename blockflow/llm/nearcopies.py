@@ -123,26 +123,36 @@ def verified(pairs: DataFrame, sets: DataFrame, p: NearCopyParams) -> DataFrame:
 def missed(crowded: DataFrame, found: DataFrame, sets: DataFrame, p: NearCopyParams) -> DataFrame:
     """All links between nodes under one crowded key (key, node, group) which the links ``found`` don't join yet.
 
-    One end of such a link is outside the key's largest component, so those outside are held against all. Similar sets
-    share a member of their prefixes: of n members, rarest first, the n - ceil(similarity * n) + 1 first ones. A passage
-    that many documents share is in no prefix, unless there is little else in them; copies of one text are joined already.
+    One end of such a link is outside the key's largest component, so those outside are held against all that they
+    share a rare member with: see ``candidates``. Copies of one text are joined already.
     """
     roots = materialise(components(found.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")), "near-roots").withColumnRenamed("node", "group"), "near-roots")
     placed = materialise(crowded.join(roots, "group", "left").select("key", "node", "group", F.coalesce("root", "group").alias("root")), "near-placed")
     most = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("roots"))
     apart = placed.join(most.where("roots > 1").select("key", F.col("m.root").alias("largest")), "key")
     nodes = materialise(apart.groupBy("node", "group", "root").agg(F.max(F.col("root") != F.col("largest")).alias("outside")), "near-apart")
+    return verified(materialise(candidates(nodes, sets, p), "near-more"), sets, p)
+
+
+def candidates(nodes: DataFrame, sets: DataFrame, p: NearCopyParams) -> DataFrame:
+    """a, b, group_a, group_b: all pairs of similar sets of ``nodes`` (node, group, root, outside), one of them outside, of other roots.
+
+    Sets of n and m members of similarity s share at least t = s / (1 + s) * (n + m), so the rarest that they share is
+    among the n - t + 1 first of one and the m - t + 1 first of the other, rarest first: some n / 9 for sets of one size,
+    where a bound that holds for partners of any size is n / 5. Near copies that have more members of their own than
+    that, of those that share a passage, meet nowhere.
+    """
     members = materialise(nodes.join(sets, "node").select(*nodes.columns, F.size("s").alias("n"), F.explode("s").alias("x")), "near-members")
     counted = members.join(members.groupBy("x").agg(F.count(F.lit(1)).alias("times")), "x")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("times", "x"))
     # the small terms keep rounding from shortening a prefix or losing a pair
     prefix = counted.withColumn("rank", rank).where((F.col("rank") <= F.col("n") - F.ceil(p.similarity * F.col("n") - 1e-6) + 1) & (F.col("times") > 1))
-    prefix = materialise(prefix.select("x", F.struct("node", "group", "root", "n", "outside").alias("m")), "near-prefix")
+    prefix = materialise(prefix.select("x", F.struct("node", "group", "root", "n", "outside", "rank").alias("m")), "near-prefix")
     a, b = prefix.select("x", F.col("m").alias("a")), prefix.select("x", F.col("m").alias("b"))
-    similar = (F.col("a.root") != F.col("b.root")) & (F.least("a.n", "b.n") >= p.similarity * F.greatest("a.n", "b.n") - 1e-6)
+    shared = F.ceil(p.similarity / (1 + p.similarity) * (F.col("a.n") + F.col("b.n")) - 1e-6)
+    similar = (F.col("a.root") != F.col("b.root")) & (F.col("a.rank") <= F.col("a.n") - shared + 1) & (F.col("b.rank") <= F.col("b.n") - shared + 1)
     ordered = F.when(F.col("a.node") < F.col("b.node"), _pair(F.col("a"), F.col("b"))).otherwise(_pair(F.col("b"), F.col("a")))
-    pairs = a.where("a.outside").join(b, "x").where(similar).select(ordered.alias("l")).select("l.*").distinct()
-    return verified(materialise(pairs, "near-more"), sets, p)
+    return a.where("a.outside").join(b, "x").where(similar).select(ordered.alias("l")).select("l.*").distinct()
 
 
 def features(docs: DataFrame, p: NearCopyParams = NearCopyParams(), simhash: SimHashParams = SimHashParams(), id_column: str = "doc_id", text: str = "text") -> DataFrame:

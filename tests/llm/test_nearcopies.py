@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
@@ -136,3 +137,24 @@ def test_crowded_keys_lose_no_group(spark):
     assert 1 < len(set(groups(want).values())) < len(texts)
     kept = {r.doc_id for r in N.keep_distinct(docs, p).collect()}
     assert kept == set(groups(want).values())
+
+
+def test_candidates_of_edited_copies_are_few_and_whole(spark):
+    """A group of near copies too far from each other makes hardly a pair; no similar pair of any sizes is left out."""
+    rng = np.random.default_rng(8)
+    sets = {}
+    for k in range(60):  # 15 of 100 members replaced: similarity to each other some 0.6
+        own = rng.choice(100, 85, replace=False)
+        sets[k] = {*own.tolist(), *range(1000 * (k + 1), 1000 * (k + 1) + 15)}
+    few = spark.createDataFrame([(k, k, k, True) for k in sets], "node long, group long, root long, outside boolean")
+    rows = spark.createDataFrame([(k, sorted(s)) for k, s in sets.items()], "node long, s array<long>")
+    assert N.candidates(few, rows, N.NearCopyParams()).count() < 60
+    for k in range(60, 260):  # edits of others, or of such edits
+        base = sorted(sets[int(rng.integers(0, k))])
+        gone = set(rng.choice(base, int(rng.integers(0, len(base) // 6 + 1)), replace=False).tolist())
+        sets[k] = {*base} - gone | {*rng.integers(0, 140, int(rng.integers(0, 12))).tolist()}
+    nodes = spark.createDataFrame([(k, k, k % 90, k % 3 > 0) for k in sets], "node long, group long, root long, outside boolean")
+    rows = spark.createDataFrame([(k, sorted(s)) for k, s in sets.items()], "node long, s array<long>")
+    got = {(r.a, r.b) for r in N.candidates(nodes, rows, N.NearCopyParams()).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and a % 90 != b % 90 and (a % 3 or b % 3) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(want) > 150 and want <= got
