@@ -6,9 +6,9 @@ frames, evaluated on their integral image, are quantised to two bits (Gray code)
 each position in time.
 
 Alignment: recordings with the same integers are one class, represented by its smallest id, so copies make no pairs. An
-inverted index has, for each class, the integers at which a run of equal ones begins (a sustained sound counts once). The
-classes of the queries look up theirs, and those that differ in one bit; hits are counted by (query, class, offset), the
-offset histogram; offsets of at least ``hits`` are verified by the share of bits that differ over the whole overlap. Nothing is
+inverted index has, for each class of the queries, the integers at which a run of equal ones begins (a sustained sound
+counts once), in mapped arrays. Each class looks up its own, and those that differ in one bit, in the task that reads it;
+hits are counted by (query, class, offset), the offset histogram; offsets of at least ``hits`` are verified by the share of bits that differ over the whole overlap. Nothing is
 capped. At 110 integers whose bits differ independently with probability 0.1, 0.15, 0.2 a true offset has some 17, 4, 0.8
 hits; real errors come in clusters, which is easier. An integer that many recordings share gives pairs of each with each
 query, so that work grows with the queries times such recordings.
@@ -33,10 +33,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockflow.runtime import materialise, ship
+from blockflow.llm.arraystore import open_arrays, write_arrays
+from blockflow.runtime import materialise, shared_path, ship
 
 
 @dataclass(frozen=True)
@@ -184,18 +186,6 @@ def fingerprints(rows: DataFrame, id_column: str, media: str, p: MediaParams = M
 # ---- alignment -----------------------------------------------------------------------------------------------
 
 
-def _keys(items: Column) -> Column:
-    """Structs (key, at): the first integer of each run of equal ones, and where the run begins."""
-    keyed = F.transform(items, lambda x, i: F.struct(x.alias("key"), i.alias("at"), ((i == 0) | (F.get(items, i - 1) != x)).alias("new")))
-    return F.transform(F.filter(keyed, lambda x: x.new), lambda x: F.struct(x.key.alias("key"), x["at"].alias("at")))
-
-
-def _near(key: Column) -> Column:
-    """The integer and those that differ in one bit."""
-    flips = [0, *(b - (1 << 32) if b >> 31 else b for b in (1 << k for k in range(32)))]
-    return F.transform(F.array(*map(F.lit, flips)), lambda x: x.bitwiseXOR(key))
-
-
 def classes(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes: class_id, h, items, n_members; members: id, class_id), both written to the shared folder."""
     keyed = materialise(fps.withColumn("h", F.struct(F.xxhash64("items").alias("a"), F.hash("items").alias("b"), F.size("items").alias("n"))), "media")
@@ -204,40 +194,126 @@ def classes(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table, keyed.join(table.select("h", "class_id"), "h").select("id", "class_id")
 
 
-def _errors(a: Column, b: Column, offset: Column) -> Column:
-    """Differing bits over the overlap, where the item i + offset of a stands against i of b."""
-    left = F.slice(a, F.greatest(offset, F.lit(0)) + 1, F.size(a))
-    right = F.slice(b, F.greatest(-offset, F.lit(0)) + 1, F.size(b))
-    # as longs without a sign: bit_count extends the sign of an integer
-    bits = F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
-    return F.aggregate(F.filter(bits, lambda x: x.isNotNull()), F.lit(0), lambda s, x: s + x)
+#: The integer and those that differ in one bit.
+FLIPS = np.array([0, *(1 << k for k in range(32))], dtype=np.uint32)
+#: Integers of queries in a file of the index, about; hits, and integers that are compared, at once.
+SHARD, HITS, COMPARED = 1 << 21, 1 << 20, 1 << 22
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all integers as unsigned, where each list begins and the last one ends) of a column of lists."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False)).astype(np.int32).view(np.uint32), np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+
+
+def _runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The positions at which a run of equal integers begins within its list."""
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    new[starts[:-1][np.diff(starts) > 0]] = True
+    return np.flatnonzero(new)
+
+
+def _spread(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """lo, lo + 1 ... (n of them) for each pair, one after the other."""
+    ends = np.cumsum(n)
+    return np.repeat(lo - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+
 
+def write_index(queries: DataFrame) -> list[str]:
+    """Write the inverted index of the queries (h, items) as sorted arrays, whole queries in a file; returns the files."""
+    ship(queries.sparkSession)
+    shards = (queries.agg(F.sum(F.size("items"))).first()[0] or 0) // SHARD + 1
+    folder = shared_path(queries.sparkSession, "media-index")
 
-def _overlap(a: Column, b: Column, offset: Column) -> Column:
-    return F.least(F.size(a) - F.greatest(offset, F.lit(0)), F.size(b) - F.greatest(-offset, F.lit(0)))
+    def write(t: pa.Table) -> pa.Table:
+        number = t.column("shard")[0].as_py()
+        values, starts = _lists(t.column("items").combine_chunks())
+        at = _runs(values, starts)
+        owner = np.searchsorted(starts, at, "right") - 1
+        order = np.argsort(values[at], kind="stable")
+        h = {k: t.column(k).to_numpy() for k in "abn"}
+        write_arrays(f"{folder}/{number}", h | {"values": values, "starts": starts, "keys": values[at][order], "owner": owner[order], "at": (at - starts[owner])[order], "runs": np.bincount(owner, minlength=len(starts) - 1)})
+        return pa.table({"shard": pa.array([number], pa.int64())})
+
+    dealt = queries.select(F.pmod("h.a", F.lit(shards)).cast("bigint").alias("shard"), "h.a", "h.b", "h.n", "items")
+    return sorted(f"{folder}/{r[0]}" for r in dealt.groupBy("shard").applyInArrow(write, "shard bigint").collect())
+
+
+def _errors(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The bits in which n integers of x from x_at differ from those of y from y_at, for each."""
+    out = np.zeros(len(n), dtype=np.int64)
+    cuts = np.searchsorted(np.cumsum(n), np.arange(COMPARED, int(n.sum()), COMPARED))
+    for part in np.split(np.arange(len(n)), np.unique(cuts)):
+        if len(part):
+            bits = np.bitwise_count(x[_spread(x_at[part], n[part])] ^ y[_spread(y_at[part], n[part])])
+            out[part] = np.add.reduceat(bits, np.cumsum(n[part]) - n[part], dtype=np.int64)
+    return out
+
+
+def _aligned(index: dict[str, np.ndarray], values: np.ndarray, starts: np.ndarray, h: dict[str, np.ndarray], p: MediaParams) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, query, offset, overlap, bit_error) of the best alignments of some recordings with an index's queries."""
+    at = _runs(values, starts)
+    row = np.searchsorted(starts, at, "right") - 1
+    runs = np.bincount(row, minlength=len(starts) - 1)
+    wanted = (values[at][:, None] ^ FLIPS).reshape(-1)
+    lo = np.searchsorted(index["keys"], wanted)
+    n = np.searchsorted(index["keys"], wanted, "right") - lo
+    row, at = np.repeat(row, len(FLIPS)), np.repeat(at - starts[row], len(FLIPS))
+    met = np.flatnonzero(n)
+    lo, n, row, at = lo[met], n[met], row[met], at[met]
+    first = np.flatnonzero(np.diff(row, prepend=-1))  # blocks are of whole rows
+    done = np.cumsum(n)[first] - n[first]
+    for block in np.split(np.arange(len(row)), first[1:][done[1:] // HITS != done[:-1] // HITS]):
+        e = _spread(lo[block], n[block])
+        q, r = index["owner"][e].astype(np.int64), np.repeat(row[block], n[block])
+        offset = index["at"][e].astype(np.int64) - np.repeat(at[block], n[block])
+        other = (index["a"][q] != h["a"][r]) | (index["b"][q] != h["b"][r]) | (index["n"][q] != h["n"][r])
+        queries = len(index["a"])
+        key, hits = np.unique((((r * queries + q) << 32) + offset + (1 << 31))[other], return_counts=True)
+        offset = (key & 0xFFFFFFFF) - (1 << 31)
+        r, q = np.divmod(key >> 32, queries)
+        # a recording of few runs can't have more hits
+        enough = (hits >= p.hits) | (index["runs"][q] < p.hits) | (runs[r] < p.hits)
+        size_q, size_r = np.diff(index["starts"])[q], np.diff(starts)[r]
+        q_at, r_at = np.maximum(offset, 0), np.maximum(-offset, 0)
+        overlap = np.minimum(size_q - q_at, size_r - r_at)
+        long = np.flatnonzero(enough & (overlap >= p.overlap * np.minimum(size_q, size_r)))
+        r, q, offset, overlap = r[long], q[long], offset[long], overlap[long]
+        error = _errors(index["values"], index["starts"][q] + q_at[long], values, starts[r] + r_at[long], overlap) / (32.0 * overlap)
+        good = np.flatnonzero(error <= p.error)
+        good = good[np.lexsort((offset[good], error[good], q[good], r[good]))]
+        same = np.zeros(len(good), dtype=bool)
+        same[1:] = (q[good[1:]] == q[good[:-1]]) & (r[good[1:]] == r[good[:-1]])
+        best = good[~same]
+        yield r[best], q[best], offset[best], overlap[best], error[best]
 
 
 def align(table: DataFrame, queries: DataFrame, p: MediaParams = MediaParams()) -> DataFrame:
     """h, match_id, offset, overlap, bit_error: for each class of ``queries`` (h) the classes that align with it.
 
-    ``offset``: how many integers the match starts after the query. Its own class isn't returned.
+    ``offset``: how many integers the match starts after the query. Its own class isn't returned. The queries' index lies
+    in mapped arrays; each class looks its integers up and is compared where it is read, so hits are never shuffled.
     """
-    index = table.select("h", F.explode(_keys(F.col("items"))).alias("k")).select(F.col("h").alias("m"), "k.key", F.col("k.at").alias("m_at"))
-    runs = lambda c: F.size(_keys(F.col(c)))
-    asked = queries.select("h", F.explode(_keys(F.col("items"))).alias("k")).select("h", F.explode(_near(F.col("k.key"))).alias("key"), F.col("k.at").alias("q_at"))
-    hits = asked.join(index, "key").where("h <> m").groupBy("h", "m", (F.col("q_at") - F.col("m_at")).alias("offset")).agg(F.count(F.lit(1)).alias("hits"))
-    few = [t.where(runs("items") < p.hits).select(F.col("h").alias(c)) for t, c in ((queries, "h"), (table, "m"))]
-    peaks = hits.where(F.col("hits") >= p.hits)
-    for t in few if p.hits > 1 else []:  # a recording of few runs can't have more hits
-        peaks = peaks.unionByName(hits.where(F.col("hits") < p.hits).join(t, t.columns[0], "left_semi"))
-    a, b = queries.select("h", F.col("items").alias("a")), table.select(F.col("h").alias("m"), F.col("items").alias("b"), F.col("class_id").alias("match_id"))
-    both = peaks.join(a, "h").join(b, "m")
-    overlap = _overlap(F.col("a"), F.col("b"), F.col("offset"))
-    long = both.withColumn("overlap", overlap).where(F.col("overlap") >= p.overlap * F.least(F.size("a"), F.size("b")))
-    checked = long.select("h", "match_id", "m", "offset", "overlap", (_errors(F.col("a"), F.col("b"), F.col("offset")) / (32.0 * F.col("overlap"))).alias("bit_error"))
-    good = checked.where(F.col("bit_error") <= p.error)
-    best = good.groupBy("h", "m").agg(F.min(F.struct("bit_error", "offset", "overlap", "match_id")).alias("x"))
-    return best.select("h", "x.match_id", "x.offset", F.col("x.overlap").alias("overlap"), "x.bit_error")
+    files = write_index(queries)
+    kind = dict(table.dtypes)["class_id"]
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                values, starts = _lists(part.column(4))
+                h = {k: part.column(i).to_numpy() for i, k in enumerate("abn")}
+                for file in files:
+                    index = open_arrays(file)[0]
+                    for r, q, offset, overlap, error in _aligned(index, values, starts, h, p):
+                        found = [index["a"][q], index["b"][q], index["n"][q], offset, overlap, error]
+                        columns = [pa.array(c).cast(t) for c, t in zip(found, types, strict=True)]
+                        yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns[:3], names=["a", "b", "n"]), part.column(3).take(pa.array(r)), *columns[3:]], names=["h", "match_id", "offset", "overlap", "bit_error"])
+
+    rows = table.select("h.a", "h.b", "h.n", "class_id", "items")
+    return rows.mapInArrow(run, f"h struct<a: bigint, b: int, n: int>, match_id {kind}, offset int, overlap int, bit_error double")
 
 
 def media_digest(rows: DataFrame, p: MediaParams = MediaParams(), id_column: str = "vec_id", vector: str = "embedding", every: int = 100) -> DataFrame:

@@ -128,3 +128,33 @@ def test_whole_operator(spark):
     assert len([r for r in got if r.kind == "member"]) == len(rows)
     assert {(0, 0), (1, 0), (None, 0), (2, 2), (100, 100), (7, 7), (8, 7), (9, 7), (200, 7)} <= member
     assert M.media_digest(df.limit(0)).count() == 0
+
+
+def test_hits_are_not_shuffled_and_blocks_change_nothing(spark, monkeypatch):
+    """Recordings of few notes share most integers; whatever is compared at once, the best alignments are the same."""
+    rng = np.random.default_rng(9)
+    rows = [(k, bytearray(M.render([float(x) / 32 for x in rng.integers(0, 2, 40)]))) for k in range(60)]
+    table, _ = M.classes(M.fingerprints(spark.createDataFrame(rows, "vec_id long, media binary"), "vec_id", "media", P))
+    queries = table.where("class_id % 10 = 0")
+    found = M.align(table, queries, P)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    kept = [(r["h"], np.array(r["items"], dtype=np.int32).view(np.uint32), r["class_id"]) for r in table.collect()]
+    asked = [x for x in kept if x[2] % 10 == 0]
+    cat = lambda x: (np.concatenate([i for _, i, _ in x]), np.cumsum([0, *(len(i) for _, i, _ in x)]), {k: np.array([h[k] for h, _, _ in x]) for k in "abn"})
+    values, starts, h = cat(asked)
+    at = M._runs(values, starts)
+    owner = np.searchsorted(starts, at, "right") - 1
+    order = np.argsort(values[at], kind="stable")
+    index = h | {"values": values, "starts": starts, "keys": values[at][order], "owner": owner[order], "at": (at - starts[owner])[order], "runs": np.bincount(owner)}
+    for p in (P, M.MediaParams(hits=3)):
+        want = None
+        for hits, compared in ((1 << 20, 1 << 22), (1, 1), (500, 70)):
+            monkeypatch.setattr(M, "HITS", hits)
+            monkeypatch.setattr(M, "COMPARED", compared)
+            got = sorted((asked[q][2], kept[r][2], o, n, e) for part in M._aligned(index, *cat(kept), p) for r, q, o, n, e in zip(*(x.tolist() for x in part), strict=True))
+            want = want or got
+            assert got == want
+        if p == P:
+            ids = {x[0]: x[2] for x in kept}
+            assert want == sorted((ids[r.h], r.match_id, r.offset, r.overlap, r.bit_error) for r in found.collect()) and len(want) > 20
